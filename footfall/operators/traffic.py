@@ -5,26 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions.parsing import action_timestamp, course_id, referer_host
+from footfall.functions.parsing import (
+    action_timestamp, course_id, day_key, referer_host, split_fields,
+)
 
 COURSE_KEYS = ("day", "course_id")
 SEARCH_KEYS = ("day", "host", "course_id")
 
 
 def _fields(lines: DataFrame) -> DataFrame:
-    part = F.split("value", "\t")
-    return lines.select(
-        F.get(part, F.lit(0)).alias("ip"),
-        F.date_format(action_timestamp(F.get(part, F.lit(1))), "yyyyMMddHHmmss").alias("time"),
-        course_id(F.get(part, F.lit(2))).alias("course_id"),
-        F.get(part, F.lit(4)).try_cast("int").alias("status_code"),
-        F.get(part, F.lit(3)).alias("referer"),
-    )
+    return split_fields(lines, "\t", {
+        "ip": lambda part: part(0),
+        "ts": lambda part: action_timestamp(part(1)),
+        "course_id": lambda part: course_id(part(2)),
+        "status_code": lambda part: part(4).try_cast("int"),
+        "referer": lambda part: part(3),
+    })
 
 
 def _readable() -> Column:
     return (
-        F.col("time").isNotNull() & F.col("course_id").isNotNull()
+        F.col("ts").isNotNull() & F.col("course_id").isNotNull()
         & F.col("status_code").isNotNull()
     )
 
@@ -41,8 +42,17 @@ def count_access_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_day(clicks: DataFrame) -> DataFrame:
-    return clicks.withColumn("day", F.substring("time", 1, 8))
+def render_clicks(clicks: DataFrame) -> DataFrame:
+    """With the time as text, ``yyyyMMddHHmmss``."""
+    return clicks.withColumn("ts", F.date_format("ts", "yyyyMMddHHmmss")).withColumnRenamed("ts", "time")
+
+
+def count_days(clicks: DataFrame, *keys: str | Column) -> DataFrame:
+    """Clicks per day and further keys. Grouped by DATE; the day's text is made afterwards."""
+    counts = clicks.groupBy(F.to_date("ts").alias("day"), *keys).agg(
+        F.count("*").alias("click_count")
+    )
+    return counts.withColumn("day", day_key(F.col("day")))
 
 
 def with_search_host(clicks: DataFrame) -> DataFrame:
@@ -53,15 +63,11 @@ def with_search_host(clicks: DataFrame) -> DataFrame:
 
 
 def course_daily(clicks: DataFrame) -> DataFrame:
-    return with_day(clicks).groupBy(*COURSE_KEYS).agg(F.count("*").alias("click_count"))
+    return count_days(clicks, "course_id")
 
 
 def course_search_daily(clicks: DataFrame) -> DataFrame:
-    return (
-        with_day(with_search_host(clicks))
-        .groupBy(*SEARCH_KEYS)
-        .agg(F.count("*").alias("click_count"))
-    )
+    return count_days(with_search_host(clicks), "host", "course_id")
 
 
 def row_key(*keys: str) -> Column:
@@ -100,17 +106,24 @@ def course_search_report(searches: DataFrame, courses: DataFrame, day: str) -> D
 def course_search_grid(searches: DataFrame, courses: DataFrame, day: str) -> DataFrame:
     """A day's courses against all its search hosts, 0 where a course has no click.
 
-    Works on the day's counters. Each host is paired with the list of the site's courses, the
-    short side, and finds its counts by an equi-join.
+    Works on the day's counters: each host holds a map of its courses' clicks and is
+    laid out over the list of the site's courses, the short side of the grid.
     """
-    of_day = searches.filter(F.col("day") == day)
-    course_list = of_day.agg(F.collect_set("course_id")).scalar()
-    cells = of_day.select("host").distinct().select("host", F.explode(course_list).alias("course_id"))
-    counts = of_day.select("host", "course_id", "click_count")
+    entries = F.collect_list(F.struct("course_id", "click_count"))
+    hosts = (
+        searches.filter(F.col("day") == day)
+        .groupBy("host")
+        .agg(F.map_from_entries(entries).alias("clicks"))
+    )
+    listed = hosts.select(F.explode(F.map_keys("clicks")).alias("course_id"))
+    course_list = listed.agg(F.collect_set("course_id")).scalar()
     return (
-        cells.join(counts, ["host", "course_id"], "left")
+        hosts.select("host", "clicks", F.explode(course_list).alias("course_id"))
         .join(courses, "course_id", "left")
-        .select("course_id", "name", "host", F.coalesce("click_count", F.lit(0)).alias("click_count"))
+        .select(
+            "course_id", "name", "host",
+            F.coalesce(F.try_element_at("clicks", F.col("course_id")), F.lit(0)).alias("click_count"),
+        )
     )
 
 

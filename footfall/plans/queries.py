@@ -379,12 +379,13 @@ def insert_distinct(spark, sf_dir):
 
 @_query
 def access_log_parse(spark, sf_dir):
-    return _requests(spark, sf_dir)
+    return traffic.render_clicks(_requests(spark, sf_dir))
 
 
 @_query
 def referer_host(spark, sf_dir):
-    return traffic.with_search_host(_requests(spark, sf_dir)).select("time", "course_id", "host")
+    clicks = traffic.with_search_host(_requests(spark, sf_dir))
+    return traffic.render_clicks(clicks).select("time", "course_id", "host")
 
 
 @_query

@@ -11,9 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from footfall.operators import ads
 from footfall.sinks.keyed_table import KeyedTable
 
-CELL_KEYS = ("date", "hour", "minute", "province", "city", "userid", "adid")
-
-
 @dataclass(frozen=True)
 class AdTables:
     """Result tables of the stream, below one folder."""
@@ -48,10 +45,6 @@ class AdTables:
         )
 
 
-def _sum_clicks(cells: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    return cells.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
-
-
 def process_batch(
     lines: DataFrame, batch_id: int, tables: AdTables,
     limit: int = ads.CLICK_LIMIT, top_k: int = 3, scope: str = "day",
@@ -67,24 +60,19 @@ def process_batch(
     """
     clicks = ads.drop_blacklisted(ads.parse_ad_log(lines), tables.blacklist.read(batch_id - 1))
     # The raw batch is read once: every statistic below is a sum over these counts.
-    cells = (
-        ads.minute_parts(clicks)
-        .groupBy(*CELL_KEYS)
-        .agg(F.count("*").alias("click_count"))
-        .persist()
-    )
+    cells = ads.count_minutes(clicks, "province", "city", "userid", "adid").persist()
     try:
         # Days with clicks in this batch.
         days = [row["date"] for row in cells.select("date").distinct().collect()]
 
-        tables.user_clicks.write(_sum_clicks(cells, ads.USER_KEYS), batch_id)
+        tables.user_clicks.write(ads.sum_clicks(cells, *ads.USER_KEYS), batch_id)
         touched = cells.select(*ads.USER_KEYS).distinct()
         totals = tables.user_clicks.read(batch_id, days).join(
             touched, list(ads.USER_KEYS), "left_semi"
         )
         tables.blacklist.write(ads.over_limit_users(totals, limit), batch_id)
 
-        tables.city_clicks.write(_sum_clicks(cells, ads.CITY_KEYS), batch_id)
+        tables.city_clicks.write(ads.sum_clicks(cells, *ads.CITY_KEYS), batch_id)
         if scope == "day":
             groups = cells.select("date", "province").distinct()
             ranked = tables.city_clicks.read(batch_id, days).join(
@@ -93,10 +81,10 @@ def process_batch(
         else:
             ranked = cells
         tables.province_top.write(
-            ads.top_province_ads(_sum_clicks(ranked, ads.PROVINCE_KEYS), top_k), batch_id
+            ads.top_province_ads(ads.sum_clicks(ranked, *ads.PROVINCE_KEYS), top_k), batch_id
         )
 
-        tables.trend.write(_sum_clicks(cells, ads.MINUTE_KEYS), batch_id)
+        tables.trend.write(ads.sum_clicks(cells, *ads.MINUTE_KEYS), batch_id)
     finally:
         cells.unpersist()
 

@@ -38,19 +38,13 @@ class TrafficTables:
 
 def process_batch(lines: DataFrame, batch_id: int, tables: TrafficTables) -> None:
     """Add one micro-batch to both counters; the raw batch is read once."""
-    clicks = traffic.with_day(traffic.parse_access_log(lines))
-    cells = (
-        clicks.groupBy("day", "course_id", referer_host(F.col("referer")).alias("host"))
-        .agg(F.count("*").alias("n"))
-        .persist()
-    )
+    host = referer_host(F.col("referer")).alias("host")
+    cells = traffic.count_days(traffic.parse_access_log(lines), "course_id", host).persist()
     try:
         tables.courses.write(
-            cells.groupBy(*traffic.COURSE_KEYS).agg(F.sum("n").alias("click_count")), batch_id
-        )
-        tables.searches.write(
-            cells.filter(F.col("host").isNotNull()).withColumnRenamed("n", "click_count"), batch_id
+            cells.groupBy(*traffic.COURSE_KEYS).agg(F.sum("click_count").alias("click_count")), batch_id
         )
+        tables.searches.write(cells.filter(F.col("host").isNotNull()), batch_id)
     finally:
         cells.unpersist()
 
