@@ -1,4 +1,4 @@
-"""Expressions that take values out of log lines and id lists.
+"""Expressions that take values out of log lines.
 
 A value that cannot be read becomes null; the operators decide what to drop.
 """
@@ -41,12 +41,6 @@ def format_time(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
-def id_list(text: Column) -> Column:
-    """Comma-separated ids as an array; anything that is not a number is left out."""
-    ids = F.transform(F.split(text, ","), lambda part: part.try_cast("bigint"))
-    return F.coalesce(F.filter(ids, lambda i: i.isNotNull()), F.array().cast("array<bigint>"))
-
-
 def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 

@@ -2,35 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.parsing import id_list
 from footfall.operators.ranking import top_per_group
 
 KINDS = ("click", "order", "pay")
 
 
-def _events_of(kind: str, ids: Column) -> Column:
-    return F.transform(ids, lambda i: F.struct(F.lit(kind).alias("kind"), i.alias("category_id")))
-
-
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (session, kind, category) with its number of occurrences.
 
     A single pass over the actions. Counting per session first means that what is shuffled
     to join the sessions is bounded by the categories a session touches, not by its length.
     """
-    clicked = F.when(
-        F.col("click_category_id") != -1, F.array("click_category_id")
-    ).otherwise(F.array().cast("array<bigint>"))
-    occurrences = F.concat(
-        _events_of("click", clicked),
-        _events_of("order", id_list(F.col("order_category_ids"))),
-        _events_of("pay", id_list(F.col("pay_category_ids"))),
-    )
+    clicked = F.when(F.col("click_category_id") != -1, F.col("click_category_id").cast("string"))
+    ids = {"click": clicked, "order": F.col("order_category_ids"), "pay": F.col("pay_category_ids")}
+    kinds = [F.struct(F.lit(kind).alias("kind"), ids[kind].alias("ids")) for kind in KINDS]
     return (
-        actions.select("session_id", F.inline(occurrences))
+        actions.select("session_id", F.inline(F.array(*kinds)))
+        .filter(F.col("ids").isNotNull())
+        .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("id"))
+        .select("session_id", "kind", F.col("id").try_cast("bigint").alias("category_id"))
+        .filter(F.col("category_id").isNotNull())
         .groupBy("session_id", "kind", "category_id")
         .agg(F.count("*").alias("n"))
     )
@@ -68,12 +62,19 @@ def top_categories(counts: DataFrame, k: int = 10) -> DataFrame:
     ).limit(k)
 
 
-def session_category_clicks(events: DataFrame, top: DataFrame) -> DataFrame:
-    """Clicks per session and category, for the top categories (``k`` rows, broadcast)."""
+def session_category_clicks(
+    actions: DataFrame, sessions: DataFrame, top: DataFrame
+) -> DataFrame:
+    """Clicks per session and category, for the given sessions and top categories.
+
+    The top list holds ``k`` rows; broadcast, it removes all other clicks before any shuffle.
+    """
     return (
-        events.filter(F.col("kind") == "click")
+        actions.select("session_id", F.col("click_category_id").alias("category_id"))
         .join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
-        .select("session_id", "category_id", F.col("n").alias("click_count"))
+        .groupBy("session_id", "category_id")
+        .agg(F.count("*").alias("click_count"))
+        .join(sessions.select("session_id"), "session_id", "left_semi")
     )
 
 

@@ -35,8 +35,8 @@ def merge_versions(
     if mode == "add":
         return df.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
     if mode == "overwrite":
-        latest = F.max_by(F.struct(*values), VERSION).alias("latest")
-        return df.groupBy(*keys).agg(latest).select(*keys, "latest.*")
+        # A write holds a key at most once, so all values come from the same row.
+        return df.groupBy(*keys).agg(*[F.max_by(v, VERSION).alias(v) for v in values])
     if mode == "replace_groups":
         latest = df.groupBy(*group).agg(F.max(VERSION).alias(VERSION))
         return df.join(latest, [*group, VERSION], "left_semi").select(*keys, *values)

@@ -30,27 +30,25 @@ def run_session_job(
 ) -> str:
     """Band shares, random extract, top categories and their top sessions.
 
-    The matching sessions and their category events are used by several results and kept between
-    them; both are far smaller than the action table.
+    All four results need the matching sessions, a few columns per session; they are kept.
     """
     task_id = task_id or new_task_id()
     ranged = scans.action_scan(actions, p)
     matching = sessions.matching_sessions(ranged, users, p).persist(StorageLevel.MEMORY_AND_DISK)
-    events = rankings.session_category_events(ranged, matching).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
     try:
         sink.append(sessions.band_ratios(matching), "session_stat_ratio", task_id)
         drawn = extract.draw_sessions(matching, extract_total, seed=task_id)
         sink.append(extract.extract_rows(drawn, ranged), "session_random_extract", task_id)
-        top = rankings.top_categories(rankings.category_counts(events))
+        events = rankings.session_category_events(ranged, matching)
+        # k rows, used twice.
+        top = rankings.top_categories(rankings.category_counts(events)).persist()
         sink.append(category_result(top), "session_stat_top10category", task_id)
-        clicks = rankings.session_category_clicks(events, top)
+        clicks = rankings.session_category_clicks(ranged, matching, top)
         sink.append(
             session_result(rankings.top_sessions(clicks)), "session_stat_top10session", task_id
         )
+        top.unpersist()
     finally:
-        events.unpersist()
         matching.unpersist()
     return task_id
 

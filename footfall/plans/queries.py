@@ -190,9 +190,10 @@ def top10_categories(spark, sf_dir):
 
 
 def _top_category_clicks(spark, sf_dir):
-    events = _category_events(spark, sf_dir)
-    top = rankings.top_categories(rankings.category_counts(events))
-    return rankings.session_category_clicks(events, top)
+    top = rankings.top_categories(rankings.category_counts(_category_events(spark, sf_dir)))
+    return rankings.session_category_clicks(
+        _actions(spark, sf_dir, ADULTS), _matching(spark, sf_dir, ADULTS), top
+    )
 
 
 @_query

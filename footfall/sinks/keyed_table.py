@@ -4,10 +4,11 @@ Each micro-batch writes only its own rows into a folder named after its batch id
 the folders (see :mod:`footfall.operators.upsert`). A batch that is run again overwrites
 its folder, so results do not depend on retries. Compaction folds the small folders into a base.
 
-    <path>/delta/version=<batch id>[/<partition>=…]
+    <path>/delta/version=<batch id>
     <path>/base/version=<batch id>[/<partition>=…]
 
-A folder counts once Spark's committer has put ``_SUCCESS`` into it. One query writes a table,
+Only bases are cut by partition value: a micro-batch is small and should not leave a file for each of
+its days. A folder counts once Spark's committer has put ``_SUCCESS`` into it. One query writes a table,
 and table and query checkpoint are kept or dropped together.
 """
 
@@ -37,7 +38,7 @@ class KeyedTable:
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch. ``rows`` holds each key at most once."""
-        self._save(rows, f"{self.path}/delta/{VERSION}={batch_id}")
+        self._save(rows, "delta", batch_id)
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(batch_id)
 
@@ -65,7 +66,7 @@ class KeyedTable:
             # Days with new rows since the last compaction.
             rows = self._load(deltas).select(self.partition).distinct().collect()
             touched = [row[0] for row in rows]
-        self._save(self._merged(bases, deltas, touched), f"{self.path}/base/{VERSION}={batch_id}")
+        self._save(self._merged(bases, deltas, touched), "base", batch_id)
         if bases:
             self._remove_superseded(bases)
 
@@ -108,7 +109,7 @@ class KeyedTable:
         root = f"{self.path}/{kind}"
         found = []
         for name in self._list(root):
-            if name.startswith(f"{VERSION}=") and "_SUCCESS" in self._list(f"{root}/{name}"):
+            if name.startswith(f"{VERSION}=") and self._exists(f"{root}/{name}/_SUCCESS"):
                 found.append((int(name.split("=")[1]), f"{root}/{name}"))
         return sorted(v for v in found if upto is None or v[0] <= upto)
 
@@ -118,14 +119,18 @@ class KeyedTable:
     def _struct(self) -> T.StructType:
         return T.StructType.fromDDL(f"{self.schema}, {VERSION} BIGINT")
 
-    def _save(self, rows: DataFrame, folder: str) -> None:
+    def _save(self, rows: DataFrame, kind: str, batch_id: int) -> None:
         columns = [f.name for f in self._struct() if f.name != VERSION]
-        # Rebalancing gives few files of even size, whatever the largest partition is.
-        rows = rows.select(*columns).hint("rebalance")
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if self.partition:
-            writer = writer.partitionBy(self.partition)
-        writer.parquet(folder)
+        cut_by = [self.partition] if self.partition and kind == "base" else []
+        # Few files of even size; AQE splits a partition value that is large.
+        (
+            rows.select(*columns)
+            .hint("rebalance", *cut_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(*cut_by)
+            .parquet(f"{self.path}/{kind}/{VERSION}={batch_id}")
+        )
 
     def _load(self, folders: list[str]) -> DataFrame:
         if not folders:
@@ -147,6 +152,10 @@ class KeyedTable:
         fs, path = self._file_system(folder)
         return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
+    def _exists(self, file: str) -> bool:
+        fs, path = self._file_system(file)
+        return fs.exists(path)
+
     def _delete(self, folder: str) -> None:
         fs, path = self._file_system(folder)
         fs.delete(path, True)

@@ -63,8 +63,7 @@ def visit_actions(ev: DataFrame) -> DataFrame:
         .selectExpr(
             "*",
             f"event_id * 7919 % {_pick(SPANS, '(user_id + bno) % 9')} AS off",
-            "date_format(date_add(DATE '2024-01-01', CAST(bno * blk AS INT)), 'yyyy-MM-dd')"
-            " AS date",
+            "CAST(date_add(DATE '2024-01-01', CAST(bno * blk AS INT)) AS STRING) AS date",
         )
         .selectExpr(
             "date",
