@@ -32,9 +32,15 @@ def _readable() -> Column:
     )
 
 
-def parse_ad_log(lines: DataFrame) -> DataFrame:
-    """``epochMillis province city userid adid``; lines that do not fit are dropped."""
-    return _fields(lines).filter(_readable())
+def parse_ad_log(lines: DataFrame, keep_malformed: bool = False) -> DataFrame:
+    """``epochMillis province city userid adid``.
+
+    Lines that do not fit are dropped, or with ``keep_malformed`` kept as rows of nulls.
+    """
+    fields = _fields(lines)
+    if not keep_malformed:
+        return fields.filter(_readable())
+    return fields.select(*[F.when(_readable(), F.col(c)).alias(c) for c in fields.columns])
 
 
 def count_ad_lines(lines: DataFrame) -> DataFrame:

@@ -30,9 +30,16 @@ def _readable() -> Column:
     )
 
 
-def parse_access_log(lines: DataFrame) -> DataFrame:
-    """Class-page requests; other pages and lines that do not fit are dropped."""
-    return _fields(lines).filter(_readable() & (F.col("course_id") != 0))
+def parse_access_log(lines: DataFrame, keep_malformed: bool = False) -> DataFrame:
+    """Class-page requests; requests of other pages are dropped.
+
+    Lines that do not fit are dropped, or with ``keep_malformed`` kept as rows of nulls.
+    """
+    fields = _fields(lines)
+    if not keep_malformed:
+        return fields.filter(_readable() & (F.col("course_id") != 0))
+    fields = fields.select(*[F.when(_readable(), F.col(c)).alias(c) for c in fields.columns])
+    return fields.filter(F.col("course_id").isNull() | (F.col("course_id") != 0))
 
 
 def count_access_lines(lines: DataFrame) -> DataFrame:

@@ -15,8 +15,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where that costs a later shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Lets `row_number() <= k` drop rows before the shuffle for every k used here.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
+    # Scans are pruned by dates known beforehand; pruning by join would run the other side twice.
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "false",
     # Streaming state larger than the executors' heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

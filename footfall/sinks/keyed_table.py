@@ -106,11 +106,9 @@ class KeyedTable:
 
     def _versions(self, kind: str, upto: int | None = None) -> list[tuple[int, str]]:
         """Committed folders, oldest first."""
-        root = f"{self.path}/{kind}"
-        found = []
-        for name in self._list(root):
-            if name.startswith(f"{VERSION}=") and self._exists(f"{root}/{name}/_SUCCESS"):
-                found.append((int(name.split("=")[1]), f"{root}/{name}"))
+        fs, pattern = self._file_system(f"{self.path}/{kind}/{VERSION}=*/_SUCCESS")
+        names = [s.getPath().getParent().getName() for s in fs.globStatus(pattern) or []]
+        found = [(int(name.split("=")[1]), f"{self.path}/{kind}/{name}") for name in names]
         return sorted(v for v in found if upto is None or v[0] <= upto)
 
     def _partitions(self, folder: str) -> list[str]:
@@ -152,10 +150,6 @@ class KeyedTable:
         fs, path = self._file_system(folder)
         return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
-    def _exists(self, file: str) -> bool:
-        fs, path = self._file_system(file)
-        return fs.exists(path)
-
     def _delete(self, folder: str) -> None:
         fs, path = self._file_system(folder)
         fs.delete(path, True)

@@ -10,6 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators import ads
 from footfall.sinks.keyed_table import KeyedTable
+MALFORMED = "source STRING, line_count BIGINT"
+
 
 @dataclass(frozen=True)
 class AdTables:
@@ -20,6 +22,7 @@ class AdTables:
     city_clicks: KeyedTable
     province_top: KeyedTable
     trend: KeyedTable
+    malformed: KeyedTable
 
     @staticmethod
     def at(spark: SparkSession, path: str, compact_every: int = 50) -> AdTables:
@@ -42,9 +45,17 @@ class AdTables:
             table("ad_click_trend",
                   "date STRING, hour STRING, minute STRING, adid BIGINT, click_count BIGINT",
                   "add", keys=ads.MINUTE_KEYS, **counted),
+            table("ad_malformed", MALFORMED, "add", keys=["source"], values=["line_count"]),
         )
 
 
+def malformed_count(counts: DataFrame, key: str, source: str) -> DataFrame:
+    """How many lines could not be read: the count of the row without keys, if there is one."""
+    return counts.filter(F.col(key).isNull()).select(
+        F.lit(source).alias("source"), F.col("click_count").alias("line_count")
+    )
+
+
 def process_batch(
     lines: DataFrame, batch_id: int, tables: AdTables,
     limit: int = ads.CLICK_LIMIT, top_k: int = 3, scope: str = "day",
@@ -58,10 +69,14 @@ def process_batch(
     ``scope`` says what the province list ranks: the day's running totals (``day``) or the
     clicks of the batch alone (``batch``).
     """
-    clicks = ads.drop_blacklisted(ads.parse_ad_log(lines), tables.blacklist.read(batch_id - 1))
-    # The raw batch is read once: every statistic below is a sum over these counts.
-    cells = ads.count_minutes(clicks, "province", "city", "userid", "adid").persist()
+    parsed = ads.parse_ad_log(lines, keep_malformed=True)
+    # The raw batch is read once and counted before any join: all that follows works on
+    # these counts, in which a very active user takes no more rows than any other.
+    counts = ads.count_minutes(parsed, "province", "city", "userid", "adid")
+    counts = ads.drop_blacklisted(counts, tables.blacklist.read(batch_id - 1)).persist()
     try:
+        tables.malformed.write(malformed_count(counts, "date", "ad log"), batch_id)
+        cells = counts.filter(F.col("date").isNotNull())
         # Days with clicks in this batch.
         days = [row["date"] for row in cells.select("date").distinct().collect()]
 
@@ -86,7 +101,7 @@ def process_batch(
 
         tables.trend.write(ads.sum_clicks(cells, *ads.MINUTE_KEYS), batch_id)
     finally:
-        cells.unpersist()
+        counts.unpersist()
 
 
 def start_ad_stream(

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from footfall.functions.parsing import referer_host
 from footfall.operators import traffic
 from footfall.sinks.keyed_table import KeyedTable
+from footfall.streaming.ad_stream import MALFORMED, malformed_count
 
 
 @dataclass(frozen=True)
@@ -19,6 +20,7 @@ class TrafficTables:
 
     courses: KeyedTable
     searches: KeyedTable
+    malformed: KeyedTable
 
     @staticmethod
     def at(spark: SparkSession, path: str, compact_every: int = 50) -> TrafficTables:
@@ -33,20 +35,26 @@ class TrafficTables:
                 "day STRING, host STRING, course_id INT, click_count BIGINT",
                 "add", keys=traffic.SEARCH_KEYS, **common,
             ),
+            KeyedTable(
+                spark, f"{path}/access_log_malformed", MALFORMED, "add", keys=["source"],
+                values=["line_count"], compact_every=compact_every,
+            ),
         )
 
 
 def process_batch(lines: DataFrame, batch_id: int, tables: TrafficTables) -> None:
     """Add one micro-batch to both counters; the raw batch is read once."""
     host = referer_host(F.col("referer")).alias("host")
-    cells = traffic.count_days(traffic.parse_access_log(lines), "course_id", host).persist()
+    parsed = traffic.parse_access_log(lines, keep_malformed=True)
+    counts = traffic.count_days(parsed, "course_id", host).persist()
     try:
-        tables.courses.write(
-            cells.groupBy(*traffic.COURSE_KEYS).agg(F.sum("click_count").alias("click_count")), batch_id
-        )
+        tables.malformed.write(malformed_count(counts, "day", "access log"), batch_id)
+        cells = counts.filter(F.col("day").isNotNull())
+        by_course = cells.groupBy(*traffic.COURSE_KEYS).agg(F.sum("click_count").alias("click_count"))
+        tables.courses.write(by_course, batch_id)
         tables.searches.write(cells.filter(F.col("host").isNotNull()), batch_id)
     finally:
-        cells.unpersist()
+        counts.unpersist()
 
 
 def start_traffic_stream(

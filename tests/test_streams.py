@@ -127,8 +127,9 @@ def test_empty_batch(spark, tmp_path):
     tables = ad_stream.AdTables.at(spark, str(tmp_path), compact_every=1)
     ad_stream.process_batch(lines(spark, "not a click"), 0, tables)
     assert tables.user_clicks.read().count() == 0
-    ad_stream.process_batch(lines(spark, click("2024-01-01 10:00:00")), 1, tables)
+    ad_stream.process_batch(lines(spark, click("2024-01-01 10:00:00"), "", "x"), 1, tables)
     assert tables.user_clicks.read().count() == 1
+    assert rows(tables.malformed.read()) == [("ad log", 3)]
 
 
 @pytest.mark.parametrize("parts", [1, 3])
@@ -206,3 +207,13 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
         assert rows(tables.courses.read()) == [("20240105", 112, n)]
         with open(f"{tmp_path}/in/more-{n}.txt", "w") as f:
             f.write(line + "\n")
+
+
+def test_malformed_access_lines_are_counted(spark, tmp_path):
+    tables = traffic_stream.TrafficTables.at(spark, str(tmp_path))
+    good = '10.0.0.1\t2024-01-05 10:11:12\t"GET /class/112.html HTTP/1.1"\t-\t200'
+    other = '10.0.0.1\t2024-01-05 10:11:12\t"GET /course/list HTTP/1.1"\t-\t200'
+    for batch_id in range(2):
+        traffic_stream.process_batch(lines(spark, good, other, "bad", "a\tb"), batch_id, tables)
+    assert rows(tables.malformed.read()) == [("access log", 4)]
+    assert rows(tables.courses.read()) == [("20240105", 112, 2)]
