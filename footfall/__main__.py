@@ -22,9 +22,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     for name in ("session", "page", "area"):
         job = commands.add_parser(name)
         job.add_argument("--params", required=True, help="task description as JSON")
-        job.add_argument("--output", help="folder of the result tables")
-        job.add_argument("--jdbc", nargs="*", default=[], metavar="KEY=VALUE",
-                         help="JDBC options instead of a folder")
+        sink = job.add_mutually_exclusive_group(required=True)
+        sink.add_argument("--output", help="folder of the result tables")
+        sink.add_argument("--jdbc", nargs="+", default=[], metavar="KEY=VALUE",
+                          help="JDBC options instead of a folder")
         job.add_argument("--actions", default="user_visit_action", help="action table")
         job.add_argument("--users", default="user_info", help="user table")
     for name, interval in (("ad-stream", "5 seconds"), ("traffic-stream", "60 seconds")):

@@ -14,6 +14,8 @@ PROVINCE_KEYS = ("date", "province", "adid")
 MINUTE_KEYS = ("date", "hour", "minute", "adid")
 CLICK_LIMIT = 100
 MINUTE_MS = 60_000
+# Epoch milliseconds of the years 1 to 9999, the times that can be written as yyyyMMdd.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def _fields(lines: DataFrame) -> DataFrame:
@@ -28,7 +30,9 @@ def _fields(lines: DataFrame) -> DataFrame:
 
 def _readable() -> Column:
     return (
-        F.col("ts_ms").isNotNull() & F.col("userid").isNotNull() & F.col("adid").isNotNull()
+        F.coalesce(F.col("ts_ms").between(FIRST_MS, LAST_MS), F.lit(False))
+        & F.col("userid").isNotNull()
+        & F.col("adid").isNotNull()
     )
 
 

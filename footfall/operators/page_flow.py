@@ -47,9 +47,13 @@ def _long_sessions(rows: DataFrame, keys: list[str], direction: str, chunks: int
     # At most `chunks` rows per session here.
     w = Window.partitionBy("session_id").orderBy(*_ordering(["chunk"], direction))
     borders = borders.select(
-        "session_id", "chunk", F.lead("first_page").over(w).alias("page_after_chunk")
+        F.col("session_id").alias("border_session"), F.col("chunk").alias("border_chunk"),
+        F.lead("first_page").over(w).alias("page_after_chunk"),
     )
-    return inside.join(borders, ["session_id", "chunk"]).withColumn(
+    same_chunk = F.col("session_id").eqNullSafe(F.col("border_session")) & (
+        F.col("chunk") == F.col("border_chunk")
+    )
+    return inside.join(borders, same_chunk).withColumn(
         "next_page_id",
         F.when(F.col("is_last"), F.col("page_after_chunk")).otherwise(F.col("next_page_id")),
     )
@@ -81,9 +85,13 @@ def following_pages(
     if found["n"] == 0:
         return _following(rows, ["session_id"], _ordering(keys, direction)).select(output)
 
-    long_ids = broadcast_within(long_ids.select("session_id"), found["n"])
-    short = rows.join(long_ids, "session_id", "left_anti")
-    long = rows.join(long_ids, "session_id", "left_semi")
+    long_ids = broadcast_within(
+        long_ids.select(F.col("session_id").alias("long_id")), found["n"]
+    )
+    # Actions without a session id form one session, which may be long as well.
+    is_long = F.col("session_id").eqNullSafe(F.col("long_id"))
+    short = rows.join(long_ids, is_long, "left_anti")
+    long = rows.join(long_ids, is_long, "left_semi")
     chunks = -(-found["size"] // max_session_rows) + 1
     return (
         _following(short, ["session_id"], _ordering(keys, direction)).select(output)
@@ -100,6 +108,8 @@ def page_pairs(following: DataFrame) -> DataFrame:
 
 def target_pairs(flow: tuple[int, ...]) -> list[tuple[int, int, int]]:
     """Step number, page and next page of a page flow."""
+    if len(flow) < 2:
+        raise ValueError("a page flow has at least two pages")
     return [(i + 1, a, b) for i, (a, b) in enumerate(zip(flow, flow[1:]))]
 
 

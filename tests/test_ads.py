@@ -23,11 +23,12 @@ def parsed(spark, *values):
 def test_parse_drops_and_counts_bad_lines(spark):
     source = lines(
         spark, "1704067200123 4 5 6 7", "1704067200123 4 5 6", "x 4 5 6 7", "", "1 4 5 y 7",
-        "1704067200123 4 5 6 7 more",
+        "1704067200123 4 5 6 7 more", "9223372036854775807 4 5 6 7", "253402300800000 4 5 6 7",
     )
     want = (1704067200123, "4", "5", 6, 7)
     assert rows(ads.parse_ad_log(source)) == [want, want]
-    assert ads.count_ad_lines(source).first() == (6, 4)
+    assert rows(ads.user_day_clicks(ads.parse_ad_log(source))) == [("20240101", 6, 7, 2)]
+    assert ads.count_ad_lines(source).first() == (8, 6)
 
 
 def test_limit_is_exclusive(spark):

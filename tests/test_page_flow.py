@@ -26,7 +26,7 @@ def _data(n=400):
     rng = random.Random(5)
     return [
         {
-            "session": "long" if rng.random() < 0.7 else f"s{rng.randrange(40)}",
+            "session": rng.choice(["long", "long", None, f"s{rng.randrange(40)}"]),
             "time": f"2024-01-01 {rng.randrange(3)}:00:{rng.randrange(6):02d}",
             "page": rng.randrange(5), "id": i,
         }
@@ -91,6 +91,8 @@ def test_target_pairs(spark):
     assert [tuple(r) for r in got.collect()] == [(1, 1, 2, 2, 0), (2, 2, 4, 0, 1)]
 
 
-def test_unknown_direction(spark):
+def test_bad_parameters(spark):
+    with pytest.raises(ValueError):
+        page_flow.target_pairs((1,))
     with pytest.raises(ValueError):
         page_flow.following_pages(actions(spark, {}), "sideways")
