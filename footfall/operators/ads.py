@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.parsing import day_key, split_fields
 from footfall.operators.ranking import top_per_group
+from footfall.session import fixed_side
 
 USER_KEYS = ("date", "userid", "adid")
 CITY_KEYS = ("date", "province", "city", "adid")
@@ -64,11 +65,7 @@ def _text_day(counts: DataFrame) -> DataFrame:
 
 
 def drop_blacklisted(ads: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Clicks of users that are not blacklisted.
-
-    A short blacklist is broadcast from its measured size; a long one is joined by shuffle, where
-    AQE splits a very active user's clicks.
-    """
+    """Clicks of users that are not blacklisted."""
     return ads.join(blacklist.select("userid"), "userid", "left_anti")
 
 
@@ -96,6 +93,11 @@ def over_limit_users(totals: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
     return totals.filter(F.col("click_count") > limit).select("userid").distinct()
 
 
+def drop_over_limit(ads: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
+    """Clicks of users that stay within the limit on every day and ad."""
+    return drop_blacklisted(ads, fixed_side(over_limit_users(user_day_clicks(ads), limit)))
+
+
 def replay_blacklist(ads: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
     """Clicks that survive when the log is processed hour by hour.
 
@@ -113,7 +115,7 @@ def replay_blacklist(ads: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
         .agg(F.min("hour").alias("last_hour"))
     )
     return (
-        ads.join(blocked, "userid", "left")
+        ads.join(fixed_side(blocked), "userid", "left")
         .filter(F.col("last_hour").isNull() | (hour <= F.col("last_hour")))
         .select(*ads.columns)
     )

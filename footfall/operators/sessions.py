@@ -111,8 +111,14 @@ def render_sessions(sessions: DataFrame) -> DataFrame:
 
 
 def keep_session_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Actions of the given sessions. A very long session is split by AQE's skew join."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    """Actions of the given sessions.
+
+    A very long session is split by AQE's skew join, which wants both sides to come straight from
+    a shuffle. Sessions are an aggregate on the join key and would be joined where they
+    stand; the computed key makes Spark shuffle the ids once more.
+    """
+    ids = sessions.select(F.concat("session_id", F.lit("")).alias("session_id"))
+    return actions.join(ids, "session_id", "left_semi")
 
 
 def band_totals(sessions: DataFrame) -> DataFrame:

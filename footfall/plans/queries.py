@@ -301,8 +301,7 @@ def ad_blacklist_users(spark, sf_dir):
 
 @_query
 def ad_blacklist_filter(spark, sf_dir):
-    clicks = _ads(spark, sf_dir)
-    return ads.drop_blacklisted(clicks, ads.over_limit_users(ads.user_day_clicks(clicks)))
+    return ads.drop_over_limit(_ads(spark, sf_dir))
 
 
 @_query

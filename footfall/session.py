@@ -68,3 +68,15 @@ def broadcast_within(df: DataFrame, rows: int, limit: int = 100_000) -> DataFram
     Beyond the limit no hint is given and Spark joins by shuffling.
     """
     return F.broadcast(df) if rows <= limit else df
+
+
+def fixed_side(df: DataFrame) -> DataFrame:
+    """Compute a join side once and keep it in the checkpoint folder, so that its size is known.
+
+    A short one is broadcast, which spares the shuffle of the other side. A long one is
+    joined by shuffle; coming from the checkpoint and not from an aggregate on the join key, it
+    gets an exchange of its own, which AQE needs to split the other side's hot keys.
+    """
+    shared_dir(df.sparkSession)
+    fixed = df.checkpoint()
+    return broadcast_within(fixed, fixed.count())

@@ -42,7 +42,7 @@ def test_limit_is_exclusive(spark):
     )
     totals = ads.user_day_clicks(df)
     assert rows(ads.over_limit_users(totals)) == [(2,)]
-    left = ads.drop_blacklisted(df, ads.over_limit_users(totals))
+    left = ads.drop_over_limit(df)
     assert rows(left.select("userid").distinct()) == [(1,), (3,), (4,)]
     assert left.count() == 340
 

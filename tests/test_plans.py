@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from footfall.operators import scans, sessions
+from footfall.operators import ads, scans, sessions
 from footfall.params import TaskParams
 from footfall.plans import queries as registry
 from footfall.sources import fixtures
-from tests.helpers import plan
+from footfall import session
+from tests.helpers import actions, lines, plan, users
 
 SF_DIR = "/root/testdata/sf0.001"
 BATCH = [name for name in registry.queries() if not name.startswith("stream_")]
@@ -45,7 +47,7 @@ def test_counting_jobs_carry_no_lists(spark):
 def test_scans_are_pruned_and_filtered(spark, tmp_path):
     path = str(tmp_path / "actions")
     fixtures.visit_actions(fixtures.events(spark, SF_DIR)).write.partitionBy("date").parquet(path)
-    actions = spark.read.parquet(path).withColumn("date", registry.F.col("date").cast("string"))
+    actions = spark.read.parquet(path).withColumn("date", F.col("date").cast("string"))
     p = TaskParams("2024-01-06", "2024-01-08")
     text = plan(scans.click_scan(actions, p))
     assert "PushedFilters: [IsNotNull(click_product_id), Not(EqualTo(click_product_id,-1))]" in text
@@ -53,3 +55,44 @@ def test_scans_are_pruned_and_filtered(spark, tmp_path):
     # A job without keyword and category filters reads three columns of the action table.
     text = plan(sessions.aggregate_sessions(scans.action_scan(actions, p), p, lists=False))
     assert "ReadSchema: struct<user_id:bigint,session_id:string,action_time:string>" in text
+
+
+@pytest.fixture
+def small_thresholds(spark):
+    """Settings under which a test table has skewed shuffle partitions."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_long_sessions_are_split(spark, small_thresholds):
+    data = [{"session": "long", "keyword": f"w{i * 7919 % 5000}"} for i in range(4000)]
+    data += [{"session": f"s{i % 300}", "user": i % 300, "page": i} for i in range(2000)]
+    df = actions(spark, *data).repartition(8)
+    people = F.broadcast(users(spark, *[(i, 30, "p", "c", "male") for i in range(300)]))
+    kept = sessions.keep_session_actions(df, sessions.matching_sessions(df, people, TaskParams()))
+    assert len(kept.collect()) == 6000
+    assert "skew=true" in plan(kept)
+
+
+def test_very_active_users_are_split_or_their_list_is_broadcast(
+    spark, small_thresholds, monkeypatch
+):
+    data = [f"{1704067200000 + i * 7919} 1 1 {i % 2 * (i % 200)} 1" for i in range(8000)]
+    df = ads.parse_ad_log(lines(spark, *data)).repartition(8)
+    expected = ads.drop_over_limit(df, 30)
+    assert "BroadcastHashJoin" in plan(expected)
+    monkeypatch.setattr(session, "broadcast_within", lambda df, rows: df)
+    left = ads.drop_over_limit(df, 30)
+    assert sorted(left.collect()) == sorted(expected.collect())
+    assert "skew=true" in plan(left)
