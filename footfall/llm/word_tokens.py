@@ -1,7 +1,7 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Each input split is cut into blocks of bounded size. A block's texts become positions in the
-block's list of distinct words, and only the lists are dealt out: by a hash of the word into
+block's list of distinct words, the most frequent first, and only the lists are dealt out: by a hash of the word into
 buckets, where each distinct word of the corpus meets one task and is encoded once. The ids go
 back to the blocks, where they are joined to the positions. Decoding joins each id with its piece;
 that table is the vocabulary, whose size the tokenizer file fixes.
@@ -86,13 +86,24 @@ class _Codes(dict):
         return code
 
 
-_POSITIONS, _WORDS = 1, 0
-# Rows of either kind: of a block's texts (doc_ids, sizes, data: positions) or of its words in a
-# bucket (sizes, data: the words and later their ids).
+# Rows of three kinds: the bucket of each of a block's words, most frequent word first (data);
+# its words in one bucket in that order (data: the words, later sizes and data: their ids); some
+# of its texts (doc_ids, sizes, data: places of their words in the order).
+_ORDER, _WORDS, _POSITIONS = 0, 1, 2
 _ROWS = ("block long, kind int, bucket int, doc_ids array<long>, sizes binary, data binary, "
          "home long")
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Small numbers as bytes of equal weight, which compress better side by side."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(),
              pa.int64()]
@@ -103,23 +114,28 @@ def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _blocks(docs: DataFrame, path: str, buckets: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, pack = WordFile.at(path), zstandard.ZstdCompressor(level=1).compress
+        file, pack = WordFile.at(path), zstandard.ZstdCompressor(level=3).compress
         split, number = TaskContext.get().partitionId(), 0
         codes, held, chars = _Codes(), [], 0
 
         def closed() -> Iterator[pa.RecordBatch]:
             block, home = (split << 24) + number, split + 31 * number
             words = list(codes)
-            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) % buckets for w in words),
-                                 np.int64, len(words))
-            order = np.argsort(bucket, kind="stable")
+            uses = np.zeros(len(words), np.int64)
+            for _, _, positions in held:
+                uses += np.bincount(positions, minlength=len(words))
+            often = np.argsort(-uses, kind="stable")
             place = np.empty(len(words), np.uint32)
-            place[order] = np.arange(len(words), dtype=np.uint32)
+            place[often] = np.arange(len(words), dtype=np.uint32)
             for ids, counts, positions in held:
                 yield _row_batch([(block, _POSITIONS, 0, ids, counts.tobytes(),
-                                   pack(place[positions].tobytes()), home)])
+                                   pack(_planes(place[positions])), home)])
+            words = [words[i] for i in often]
+            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) % buckets for w in words),
+                                 np.uint32, len(words))
+            order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = []
+            rows = [(block, _ORDER, 0, None, None, pack(_planes(bucket)), home)]
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 own = " ".join(words[i] for i in order[cuts[b]:cuts[b + 1]])
                 rows.append((block, _WORDS, b, None, None, pack(own.encode()), home))
@@ -181,29 +197,32 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     buckets = 4 * tasks
     blocks = T.written(_blocks(docs, tokenizer, buckets), "word-blocks")
     ids = _encoded(blocks.where(F.col("kind") == _WORDS), tokenizer, buckets, tasks)
-    both = ids.unionByName(blocks.where(F.col("kind") == _POSITIONS))
+    both = ids.unionByName(blocks.where(F.col("kind") != _WORDS))
     home = (both.repartitionById(tasks, F.pmod("home", F.lit(tasks)).cast("int"))
             .sortWithinPartitions("block", "kind", "bucket"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = WordFile.at(tokenizer).pieces
         unpack = zstandard.ZstdDecompressor().decompress
-        block, id_bytes, id_text = None, [], []
+        bucket, id_bytes, id_text = np.empty(0, np.uint32), [], []
         for batch in T.rows(batches, 16):
             for row in batch.to_pylist():
-                if row["block"] != block:
-                    block, id_bytes, id_text = row["block"], [], []
+                if row["kind"] == _ORDER:
+                    bucket = _from_planes(unpack(row["data"]))
+                    id_bytes, id_text = [b""] * len(bucket), [b""] * len(bucket)
+                    continue
                 if row["kind"] == _WORDS:
                     flat = np.frombuffer(unpack(row["data"]), "<u4")
                     ends = np.cumsum(np.frombuffer(unpack(row["sizes"]), np.uint32)).tolist()
                     texts, at = list(map(pieces.__getitem__, flat.tolist())), 0
                     raw = flat.tobytes()
-                    for end in ends:
-                        id_bytes.append(raw[4 * at:4 * end])
-                        id_text.append(b"".join(t + b" " for t in texts[at:end]))
+                    places = np.flatnonzero(bucket == row["bucket"]).tolist()
+                    for place, end in zip(places, ends, strict=True):
+                        id_bytes[place] = raw[4 * at:4 * end]
+                        id_text[place] = b"".join(t + b" " for t in texts[at:end])
                         at = end
                     continue
-                positions = np.frombuffer(unpack(row["data"]), np.uint32)
+                positions = _from_planes(unpack(row["data"]))
                 all_ids, decoded, at = [], [], 0
                 for count in np.frombuffer(row["sizes"], np.uint32).tolist():
                     own = positions[at:at + count].tolist()
