@@ -1,7 +1,8 @@
 """Jobs for ``spark-submit``: ``python -m footfall <job> …``.
 
     session | page | area   --params '{startDate:"2020-01-01", …}' and a result sink
-    ad-stream | traffic-stream   a line source, --tables and --checkpoint
+    ad-stream | traffic-stream | ad-ingest   a line source, --tables and --checkpoint
+    report   the day's course reports from the traffic stream's --tables
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from footfall.streaming import ad_stream, traffic_stream
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="footfall")
     commands = parser.add_subparsers(dest="job", required=True)
+    report = commands.add_parser("report")
+    report.add_argument("--tables", required=True, help="folder of the traffic stream's tables")
+    report.add_argument("--day", required=True, help="yyyyMMdd")
+    report.add_argument("--output", required=True, help="folder of the result tables")
     for name in ("session", "page", "area"):
         job = commands.add_parser(name)
         job.add_argument("--params", required=True, help="task description as JSON")
@@ -28,7 +33,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
                           help="JDBC options instead of a folder")
         job.add_argument("--actions", default="user_visit_action", help="action table")
         job.add_argument("--users", default="user_info", help="user table")
-    for name, interval in (("ad-stream", "5 seconds"), ("traffic-stream", "60 seconds")):
+    for name, interval in (
+        ("ad-stream", "5 seconds"), ("traffic-stream", "60 seconds"), ("ad-ingest", "5 seconds"),
+    ):
         job = commands.add_parser(name)
         source = job.add_mutually_exclusive_group(required=True)
         source.add_argument("--kafka", nargs=2, metavar=("SERVERS", "TOPIC"))
@@ -59,6 +66,11 @@ def main(argv: list[str] | None = None) -> None:
         print(task)
         return
 
+    if args.job == "report":
+        stored = traffic_stream.TrafficTables.at(spark, args.tables)
+        print(jobs.run_report_job(stored, args.day, ResultSink(path=args.output)))
+        return
+
     if args.kafka:
         lines = streams.kafka_lines(spark, *args.kafka)
     else:
@@ -67,6 +79,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "ad-stream":
         result = ad_stream.AdTables.at(spark, args.tables)
         query = ad_stream.start_ad_stream(lines, result, args.checkpoint, interval)
+    elif args.job == "ad-ingest":
+        query = ad_stream.start_ad_ingest(lines, args.tables, args.checkpoint, interval)
     else:
         result = traffic_stream.TrafficTables.at(spark, args.tables)
         query = traffic_stream.start_traffic_stream(lines, result, args.checkpoint, interval)

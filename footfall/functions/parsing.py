@@ -29,12 +29,11 @@ def split_fields(
 
 
 def action_timestamp(text: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss``; the hour may have one digit.
+    """``yyyy-MM-dd HH:mm:ss``, each field but the year with one digit or two.
 
-    A cast reads this form without the cost of a pattern. It would also accept a bare date, which
-    is shorter than any full time.
+    Other forms (zoned, fractional, a bare date, a ``T`` in between) are no such time.
     """
-    return F.when(F.length(text) >= 18, text.try_cast("timestamp"))
+    return F.try_to_timestamp(text, F.lit("yyyy-M-d H:m:s"))
 
 
 def format_time(ts: Column) -> Column:

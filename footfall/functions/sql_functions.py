@@ -22,7 +22,9 @@ def register(spark: SparkSession) -> None:
     """Offer the functions to SQL text. Both are inlined by Catalyst, no Python is run.
 
     ``concat_long_string(id, name, ':')`` is a scalar function. ``group_concat_distinct`` takes
-    the collected group: ``group_concat_distinct(collect_set(x))``.
+    the collected group: ``group_concat_distinct(collect_set(x))``, since SQL text cannot define
+    aggregates. In one word, but without dropping empty values:
+    ``listagg(DISTINCT x, ',') WITHIN GROUP (ORDER BY x)``.
     """
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION concat_long_string(v1 BIGINT, v2 STRING, sep STRING)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.parsing import day_key, split_fields
 from footfall.operators.ranking import top_per_group
-from footfall.session import fixed_side
+from footfall.session import spread_join
 
 USER_KEYS = ("date", "userid", "adid")
 CITY_KEYS = ("date", "province", "city", "adid")
@@ -95,7 +95,8 @@ def over_limit_users(totals: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
 
 def drop_over_limit(ads: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
     """Clicks of users that stay within the limit on every day and ad."""
-    return drop_blacklisted(ads, fixed_side(over_limit_users(user_day_clicks(ads), limit)))
+    over = over_limit_users(user_day_clicks(ads), limit)
+    return spread_join(ads, over, ["userid"], ["ts_ms"], "left_anti")
 
 
 def replay_blacklist(ads: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
@@ -115,7 +116,7 @@ def replay_blacklist(ads: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
         .agg(F.min("hour").alias("last_hour"))
     )
     return (
-        ads.join(fixed_side(blocked), "userid", "left")
+        spread_join(ads, blocked, ["userid"], ["ts_ms"], "left")
         .filter(F.col("last_hour").isNull() | (hour <= F.col("last_hour")))
         .select(*ads.columns)
     )
@@ -155,6 +156,14 @@ def minute_clicks(ads: DataFrame) -> DataFrame:
     return count_minutes(ads, "adid")
 
 
+def last_minutes(trend: DataFrame, minutes: int = 60) -> DataFrame:
+    """The last ``minutes`` minutes of a stored minute table, up to its newest one."""
+    at = F.unix_seconds(F.try_to_timestamp(F.concat("date", "hour", "minute"),
+                                           F.lit("yyyyMMddHHmm"))) / 60
+    newest = trend.agg(F.max(at)).scalar()
+    return trend.filter(at > newest - minutes)
+
+
 def hour_trend(ads: DataFrame, minutes: int = 60) -> DataFrame:
     """Clicks per minute and ad over the last ``minutes`` minutes of event time."""
     newest = ads.agg(F.max("ts_ms")).select(F.floor(F.col("max(ts_ms)") / MINUTE_MS)).scalar()

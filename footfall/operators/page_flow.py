@@ -6,11 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.parsing import action_timestamp
-from footfall.session import broadcast_within, shared_dir
-
-# Rows of one session that a single task may order.
-MAX_SESSION_ROWS = 5_000_000
-
 
 def _ordering(columns: list[str], direction: str) -> list[Column]:
     if direction not in ("desc", "asc"):
@@ -18,84 +13,44 @@ def _ordering(columns: list[str], direction: str) -> list[Column]:
     return [F.desc(c) if direction == "desc" else F.asc(c) for c in columns]
 
 
-def _following(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(*order)
-    return rows.withColumns({
-        "next_page_id": F.lead("page_id").over(w),
-        "is_last": F.lead(F.lit(1)).over(w).isNull(),
-    })
-
-
-def _long_sessions(rows: DataFrame, keys: list[str], direction: str, chunks: int) -> DataFrame:
-    """Following pages of sessions too long for one task.
-
-    The rows are range-partitioned by session and order, which cuts a long session into chunks of
-    similar size. Each chunk is ordered by itself; the last row of a chunk takes its
-    following page from the first row of the next chunk. Chunk borders come from sampling,
-    so the numbered rows are written to the checkpoint folder before both uses.
-    """
-    shared_dir(rows.sparkSession)
-    numbered = (
-        rows.repartitionByRange(chunks, "session_id", *keys)
-        .withColumn("chunk", F.spark_partition_id())
-        .checkpoint()
-    )
-    inside = _following(numbered, ["session_id", "chunk"], _ordering(keys, direction))
-    position = F.struct(*keys)
-    first_page = F.max_by("page_id", position) if direction == "desc" else F.min_by("page_id", position)
-    borders = numbered.groupBy("session_id", "chunk").agg(first_page.alias("first_page"))
-    # At most `chunks` rows per session here.
-    w = Window.partitionBy("session_id").orderBy(*_ordering(["chunk"], direction))
-    borders = borders.select(
-        F.col("session_id").alias("border_session"), F.col("chunk").alias("border_chunk"),
-        F.lead("first_page").over(w).alias("page_after_chunk"),
-    )
-    same_chunk = F.col("session_id").eqNullSafe(F.col("border_session")) & (
-        F.col("chunk") == F.col("border_chunk")
-    )
-    return inside.join(borders, same_chunk).withColumn(
-        "next_page_id",
-        F.when(F.col("is_last"), F.col("page_after_chunk")).otherwise(F.col("next_page_id")),
-    )
-
-
-def following_pages(
-    actions: DataFrame, direction: str = "desc", max_session_rows: int = MAX_SESSION_ROWS
-) -> DataFrame:
+def following_pages(actions: DataFrame, direction: str = "desc") -> DataFrame:
     """Every action with the page that follows it in its session; null after the last one.
 
     ``direction`` orders a session newest first (``desc``) or oldest first (``asc``). Equal times
-    are ordered by ``event_id`` where the table has one, else by page.
+    are ordered by ``event_id`` where the table has one, else by page. An action whose time cannot
+    be read counts as older than all others. Actions without a session id form one session.
 
-    Session sizes are counted first. Sessions up to ``max_session_rows`` go through one window;
-    longer ones, if any, are cut into chunks.
+    A session is ordered hour by hour, so that its length does not matter to a task. The last
+    action of an hour takes its following page from the session's next hour; for that the
+    first page of each hour is enough, a small aggregate on the same keys.
     """
-    tie = [c for c in ("event_id",) if c in actions.columns]
-    keys = ["ts", *(tie or ["page_id"])]
-    output = ["session_id", "action_time", *tie, "page_id", "next_page_id"]
+    order = [c for c in ("event_id",) if c in actions.columns]
+    keys = ["ts", *(order or ["page_id"])]
+    # Keys without nulls, so that the join finds the rows where the window has left them.
     rows = actions.select(
-        "session_id", "action_time", *tie, "page_id",
+        "session_id", "action_time", *order, "page_id",
         action_timestamp(F.col("action_time")).alias("ts"),
+    ).withColumns({
+        "session_key": F.coalesce(F.concat(F.lit("s"), "session_id"), F.lit("")),
+        "hour_key": F.coalesce(F.unix_seconds(F.date_trunc("hour", "ts")), F.lit(-(2**63))),
+    })
+    inside = Window.partitionBy("session_key", "hour_key").orderBy(*_ordering(keys, direction))
+    rows_after = rows.withColumns({
+        "next_page_id": F.lead("page_id").over(inside),
+        "is_last": F.lead(F.lit(1)).over(inside).isNull(),
+    })
+    first = F.max_by if direction == "desc" else F.min_by
+    hours = Window.partitionBy("session_key").orderBy(*_ordering(["hour_key"], direction))
+    borders = (
+        rows.groupBy("session_key", "hour_key")
+        .agg(first("page_id", F.struct(*keys)).alias("first_page"))
+        .withColumn("page_after", F.lead("first_page").over(hours))
+        .select("session_key", "hour_key", "page_after")
     )
-
-    long_ids = (
-        actions.groupBy("session_id").count().filter(F.col("count") > max_session_rows)
-    )
-    found = long_ids.agg(F.count("*").alias("n"), F.sum("count").alias("size")).first()
-    if found["n"] == 0:
-        return _following(rows, ["session_id"], _ordering(keys, direction)).select(output)
-
-    long_ids = broadcast_within(
-        long_ids.select(F.col("session_id").alias("long_id")), found["n"]
-    )
-    # Actions without a session id form one session, which may be long as well.
-    is_long = F.col("session_id").eqNullSafe(F.col("long_id"))
-    short = rows.join(long_ids, is_long, "left_anti")
-    long = rows.join(long_ids, is_long, "left_semi")
-    chunks = -(-found["size"] // max_session_rows) + 1
-    return (
-        _following(short, ["session_id"], _ordering(keys, direction)).select(output)
-        .unionByName(_long_sessions(long, keys, direction, chunks).select(output))
+    return rows_after.join(borders, ["session_key", "hour_key"]).select(
+        "session_id", "action_time", *order, "page_id",
+        F.when(F.col("is_last"), F.col("page_after")).otherwise(F.col("next_page_id"))
+        .alias("next_page_id"),
     )
 
 
@@ -113,21 +68,6 @@ def target_pairs(flow: tuple[int, ...]) -> list[tuple[int, int, int]]:
     return [(i + 1, a, b) for i, (a, b) in enumerate(zip(flow, flow[1:]))]
 
 
-def target_page_visits(actions: DataFrame, flow: tuple[int, ...]) -> DataFrame:
-    """The target pairs of a flow with the number of actions on both pages."""
-    visits = actions.agg(*[
-        F.count_if(F.col("page_id") == page).alias(f"p{page}") for page in sorted(set(flow))
-    ])
-    return visits.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(step).alias("step"), F.lit(a).cast("bigint").alias("page_id"),
-            F.lit(b).cast("bigint").alias("next_page_id"),
-            F.col(f"p{a}").alias("page_actions"), F.col(f"p{b}").alias("next_page_actions"),
-        )
-        for step, a, b in target_pairs(flow)
-    ])))
-
-
 def _flow_totals(following: DataFrame, flow: tuple[int, ...]) -> DataFrame:
     """One row: actions on the first page, and occurrences of every target pair."""
     return following.agg(

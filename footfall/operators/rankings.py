@@ -31,8 +31,23 @@ def category_events(actions: DataFrame) -> DataFrame:
 
 
 def session_category_events(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Category events of the given sessions."""
-    return category_events(actions).join(sessions.select("session_id"), "session_id", "left_semi")
+    """Category events of the given sessions; actions without an id are one session."""
+    ids = sessions.select(F.col("session_id").alias("kept_id"))
+    return category_events(actions).join(
+        ids, F.col("session_id").eqNullSafe(F.col("kept_id")), "left_semi"
+    )
+
+
+def count_category_ids(actions: DataFrame) -> DataFrame:
+    """How many order and payment ids there are, and how many :func:`category_events` drops."""
+    ids = F.concat(*[
+        F.coalesce(F.split(f"{kind}_category_ids", ","), F.array().cast("array<string>"))
+        for kind in ("order", "pay")
+    ])
+    return actions.select(F.explode(ids).alias("id")).agg(
+        F.count("*").alias("ids"),
+        F.count_if(F.col("id").try_cast("bigint").isNull()).alias("malformed"),
+    )
 
 
 def category_counts(events: DataFrame) -> DataFrame:
@@ -62,19 +77,15 @@ def top_categories(counts: DataFrame, k: int = 10) -> DataFrame:
     ).limit(k)
 
 
-def session_category_clicks(
-    actions: DataFrame, sessions: DataFrame, top: DataFrame
-) -> DataFrame:
-    """Clicks per session and category, for the given sessions and top categories.
+def session_category_clicks(events: DataFrame, top: DataFrame) -> DataFrame:
+    """Clicks per session and category for the top categories, from the category events.
 
-    The top list holds ``k`` rows; broadcast, it removes all other clicks before any shuffle.
+    The events hold a row per session and category already, so the actions are not read again.
     """
     return (
-        actions.select("session_id", F.col("click_category_id").alias("category_id"))
-        .join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
-        .groupBy("session_id", "category_id")
-        .agg(F.count("*").alias("click_count"))
-        .join(sessions.select("session_id"), "session_id", "left_semi")
+        events.filter(F.col("kind") == "click")
+        .join(top.select("category_id"), "category_id", "left_semi")
+        .select("session_id", "category_id", F.col("n").alias("click_count"))
     )
 
 

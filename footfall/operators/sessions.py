@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from footfall.functions.bands import STEP_BANDS, VISIT_BANDS, band_counts
 from footfall.functions.parsing import action_timestamp, blank_to_null, format_time
 from footfall.params import TaskParams
+from footfall.session import spread_join
 
 USER_COLUMNS = ("user_id", "age", "professional", "sex", "city")
 
@@ -96,29 +97,44 @@ def matching_sessions(
 
 
 def render_sessions(sessions: DataFrame) -> DataFrame:
-    """Times and lists as text, the form results are published in."""
+    """Times, and lists if there are any, as text: the form results are published in."""
+    texts = {
+        "start_time": format_time(F.col("start_time")),
+        "end_time": format_time(F.col("end_time")),
+        "search_keywords": blank_to_null(F.array_join("search_keywords", ",")),
+        "click_category_ids": blank_to_null(
+            F.array_join(F.col("click_category_ids").cast("array<string>"), ",")
+        ),
+    }
+    texts = {name: text for name, text in texts.items() if name in sessions.columns}
+    return sessions.withColumns(texts).drop("keyword_match", "category_match")
+
+
+def session_values(actions: DataFrame) -> DataFrame:
+    """Searched keywords and clicked categories in long form: session_id, kind, value, n.
+
+    The same facts as the lists of :func:`aggregate_sessions`, a row for each distinct value, so a
+    session may have any number of them.
+    """
+    values = F.array(
+        F.struct(F.lit("keyword").alias("kind"), _searched().alias("value")),
+        F.struct(F.lit("category").alias("kind"), _clicked().cast("string").alias("value")),
+    )
     return (
-        sessions.withColumns({
-            "start_time": format_time(F.col("start_time")),
-            "end_time": format_time(F.col("end_time")),
-            "search_keywords": blank_to_null(F.array_join("search_keywords", ",")),
-            "click_category_ids": blank_to_null(
-                F.array_join(F.col("click_category_ids").cast("array<string>"), ",")
-            ),
-        })
-        .drop("keyword_match", "category_match")
+        actions.select("session_id", F.inline(values))
+        .filter(F.col("value").isNotNull())
+        .groupBy("session_id", "kind", "value")
+        .agg(F.count("*").alias("n"))
     )
 
 
 def keep_session_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Actions of the given sessions.
+    """Actions of the given sessions; those without an id are one session.
 
-    A very long session is split by AQE's skew join, which wants both sides to come straight from
-    a shuffle. Sessions are an aggregate on the join key and would be joined where they
-    stand; the computed key makes Spark shuffle the ids once more.
+    The actions of a very long session are dealt into parts by their time and page.
     """
-    ids = sessions.select(F.concat("session_id", F.lit("")).alias("session_id"))
-    return actions.join(ids, "session_id", "left_semi")
+    return spread_join(actions, sessions.select("session_id"), ["session_id"],
+                       ["action_time", "page_id"], "left_semi", salts=8)
 
 
 def band_totals(sessions: DataFrame) -> DataFrame:

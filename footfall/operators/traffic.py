@@ -99,39 +99,21 @@ def course_report(counters: DataFrame, courses: DataFrame, day: str) -> DataFram
 
 
 def course_search_report(searches: DataFrame, courses: DataFrame, day: str) -> DataFrame:
-    """A day's clicks by course: a map from search host to clicks."""
-    hosts = F.array_sort(F.collect_list(F.struct("host", "click_count")))
+    """A day's clicks by course and search host, a row for each pair that has any.
+
+    A page that lays courses out against hosts fills its empty cells with zeros itself.
+    """
     return (
         searches.filter(F.col("day") == day)
-        .groupBy("course_id")
-        .agg(F.map_from_entries(hosts).alias("search_click"))
         .join(courses, "course_id", "left")
-        .select("course_id", "name", "search_click")
+        .select("course_id", "name", "host", "click_count")
     )
 
 
-def course_search_grid(searches: DataFrame, courses: DataFrame, day: str) -> DataFrame:
-    """A day's courses against all its search hosts, 0 where a course has no click.
-
-    Works on the day's counters: each host holds a map of its courses' clicks and is
-    laid out over the list of the site's courses, the short side of the grid.
-    """
-    entries = F.collect_list(F.struct("course_id", "click_count"))
-    hosts = (
-        searches.filter(F.col("day") == day)
-        .groupBy("host")
-        .agg(F.map_from_entries(entries).alias("clicks"))
-    )
-    listed = hosts.select(F.explode(F.map_keys("clicks")).alias("course_id"))
-    course_list = listed.agg(F.collect_set("course_id")).scalar()
-    return (
-        hosts.select("host", "clicks", F.explode(course_list).alias("course_id"))
-        .join(courses, "course_id", "left")
-        .select(
-            "course_id", "name", "host",
-            F.coalesce(F.try_element_at("clicks", F.col("course_id")), F.lit(0)).alias("click_count"),
-        )
-    )
+def store_counters(counters: DataFrame, path: str) -> DataFrame:
+    """Write counters by day; the returned frame reads only the days that are asked for."""
+    counters.write.mode("overwrite").partitionBy("day").parquet(path)
+    return counters.sparkSession.read.schema(counters.schema).parquet(path)
 
 
 def course_shares(counters: DataFrame, courses: DataFrame) -> DataFrame:

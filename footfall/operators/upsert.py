@@ -1,7 +1,7 @@
 """Merging of versioned rows: what a keyed table holds after a sequence of writes.
 
 The input has a ``version`` column; a later write has a higher version. Every mode is an
-aggregate or join on the keys, so old and new rows are combined in bulk.
+aggregate or window on the keys, so old and new rows are combined in bulk, by one shuffle.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 VERSION = "version"
@@ -38,8 +38,9 @@ def merge_versions(
         # A write holds a key at most once, so all values come from the same row.
         return df.groupBy(*keys).agg(*[F.max_by(v, VERSION).alias(v) for v in values])
     if mode == "replace_groups":
-        latest = df.groupBy(*group).agg(F.max(VERSION).alias(VERSION))
-        return df.join(latest, [*group, VERSION], "left_semi").select(*keys, *values)
+        latest = F.max(VERSION).over(Window.partitionBy(*group))
+        rows = df.withColumn("latest", latest).filter(F.col(VERSION) == F.col("latest"))
+        return rows.select(*keys, *values)
     if mode == "insert_distinct":
         return df.select(*keys).distinct()
     raise ValueError(f"mode is one of {', '.join(MODES)}")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.operators import area, extract, page_flow, rankings, scans, sessions
+from footfall.operators import area, extract, page_flow, rankings, scans, sessions, traffic
 from footfall.params import TaskParams
 from footfall.sinks.results import ResultSink, new_task_id
-from footfall.sources.dims import cities
+from footfall.sources.dims import cities, courses
+from footfall.streaming.traffic_stream import TrafficTables
 
 
 def category_result(top: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def run_session_job(
         # k rows, used twice.
         top = rankings.top_categories(rankings.category_counts(events)).persist()
         sink.append(category_result(top), "session_stat_top10category", task_id)
-        clicks = rankings.session_category_clicks(ranged, matching, top)
+        clicks = rankings.session_category_clicks(events, top)
         sink.append(
             session_result(rankings.top_sessions(clicks)), "session_stat_top10session", task_id
         )
@@ -83,3 +84,15 @@ def run_area_job(
     top = area.top_area_products(area_clicks(spark, actions, p), k)
     sink.append(top, "area_top3_product", task_id)
     return task_id
+
+
+def run_report_job(tables: TrafficTables, day: str, sink: ResultSink, task_id: str | None = None) -> str:
+    """A day's course reports from the stored counters; only that day's are read."""
+    task_id = task_id or new_task_id()
+    names = courses(tables.courses.spark)
+    counters = tables.courses.read(partitions=[day])
+    shares = traffic.course_shares(counters, names)
+    sink.append(shares.select("course_id", "name", "click_count", "share"), "course_report", task_id)
+    searches = tables.searches.read(partitions=[day])
+    sink.append(traffic.course_search_report(searches, names, day), "course_search_report", task_id)
+    return task_id

@@ -11,12 +11,21 @@ _UVA = """
 uva AS (
   SELECT strftime(DATE '2024-01-01' + CAST(bno * blk AS INTEGER), '%Y-%m-%d') AS date,
          user_id,
-         's' || user_id || '-' || bno AS session_id,
+         CASE WHEN user_id % 50 = 49 AND bno = 0 THEN NULL
+              ELSE 's' || user_id || '-' || bno END AS session_id,
          event_id % 10 AS page_id,
-         strftime(DATE '2024-01-01' + CAST(bno * blk AS INTEGER), '%Y-%m-%d') || ' '
-           || lpad(CAST((user_id * 7 + bno * 5) % 23 AS VARCHAR), 2, '0') || ':'
-           || lpad(CAST(off // 60 AS VARCHAR), 2, '0') || ':'
-           || lpad(CAST(off % 60 AS VARCHAR), 2, '0') AS action_time,
+         CASE event_id % 83 WHEN 1 THEN
+           strftime(DATE '2024-01-01' + CAST(bno * blk AS INTEGER), '%Y-%-m-%-d') || ' '
+             || ((user_id * 7 + bno * 5) % 23) || ':' || (off // 60) || ':' || (off % 60)
+         ELSE
+           strftime(DATE '2024-01-01' + CAST(bno * blk AS INTEGER), '%Y-%m-%d') || ' '
+             || lpad(CAST((user_id * 7 + bno * 5) % 23 AS VARCHAR), 2, '0') || ':'
+             || lpad(CAST(off // 60 AS VARCHAR), 2, '0') || ':'
+             || lpad(CAST(off % 60 AS VARCHAR), 2, '0')
+             || CASE WHEN event_id % 83 = 2 THEN ' +05:00' ELSE '' END END AS action_time,
+         CASE WHEN event_id % 83 <> 2 THEN
+           CAST(DATE '2024-01-01' + CAST(bno * blk AS INTEGER) AS TIMESTAMP)
+             + to_seconds((user_id * 7 + bno * 5) % 23 * 3600 + off) END AS t,
          CASE WHEN event_type = 'view' THEN
            CASE event_id % 9 WHEN 0 THEN 'apple iphone' WHEN 1 THEN 'computer' WHEN 2 THEN 'ipad'
              WHEN 3 THEN 'headset' WHEN 4 THEN 'Lamer' WHEN 5 THEN 'deep learning'
@@ -26,7 +35,8 @@ uva AS (
          CASE WHEN event_type IN ('click', 'error') THEN (event_id * 13) % 100 ELSE -1 END
            AS click_product_id,
          CASE WHEN event_type = 'signup' THEN (event_id % 100) ||
-           CASE WHEN event_id % 3 = 0 THEN ',' || ((event_id * 3) % 100) ELSE '' END END
+           CASE WHEN event_id % 3 = 0 THEN ',' || ((event_id * 3) % 100) ELSE '' END ||
+           CASE WHEN event_id % 7 = 0 THEN ',x' ELSE '' END END
            AS order_category_ids,
          CASE WHEN event_type = 'purchase' THEN (event_id % 100) ||
            CASE WHEN event_id % 4 = 0 THEN ',' || ((event_id * 7) % 100) ELSE '' END END
@@ -56,19 +66,21 @@ ui AS (
 
 _SESSION = """
 sess AS (
-  SELECT session_id, any_value(user_id) AS user_id,
-         min(CAST(action_time AS TIMESTAMP)) AS t0, max(CAST(action_time AS TIMESTAMP)) AS t1,
+  SELECT session_id, min(user_id) AS user_id, min(t) AS t0, max(t) AS t1,
          count(*) AS step_length,
          string_agg(DISTINCT search_keyword, ',' ORDER BY search_keyword) AS search_keywords,
          list_sort(list(DISTINCT click_category_id) FILTER (WHERE click_category_id <> -1)) AS cats,
-         coalesce(bool_or(search_keyword IN ('spark', 'ipad')), FALSE) AS wanted
+         coalesce(bool_or(search_keyword IN ('spark', 'ipad')), FALSE) AS wanted,
+         coalesce(bool_or(search_keyword IN ('spark', 'ipad', 'food')), FALSE)
+           AND bool_or(click_category_id BETWEEN 0 AND 59) AS picked
   FROM uva GROUP BY session_id
 ),
 info AS (
   SELECT session_id, sess.user_id, t0, date_diff('second', t0, t1) AS visit_length, step_length,
          strftime(t0, '%Y-%m-%d %H:%M:%S') AS start_time,
          strftime(t1, '%Y-%m-%d %H:%M:%S') AS end_time,
-         search_keywords, nullif(array_to_string(cats, ','), '') AS click_category_ids, wanted
+         search_keywords, nullif(array_to_string(cats, ','), '') AS click_category_ids, wanted,
+         picked
   FROM sess
 ),
 fullinfo AS (SELECT info.*, age, professional, sex, city FROM info JOIN ui USING (user_id)),
@@ -76,17 +88,21 @@ adults AS (SELECT * FROM fullinfo WHERE age >= 20 AND age <= 50)"""
 
 _SESSION_CTES = f"WITH {_UVA},{_UI},{_SESSION}"
 _SESSION_COLUMNS = (
-    "session_id, user_id, start_time, end_time, visit_length, step_length, "
-    "search_keywords, click_category_ids"
+    "session_id, user_id, start_time, end_time, visit_length, step_length"
 )
 _CATEGORY = f"""{_SESSION_CTES},
-acts AS (SELECT * FROM uva WHERE session_id IN (SELECT session_id FROM adults)),
+acts AS (
+  SELECT uva.* FROM uva JOIN (SELECT session_id AS sid FROM adults)
+    ON session_id IS NOT DISTINCT FROM sid
+),
 hits AS (
   SELECT session_id, 'click' AS kind, click_category_id AS category_id
   FROM acts WHERE click_category_id <> -1
   UNION ALL
-  SELECT session_id, 'order', CAST(unnest(string_split(order_category_ids, ',')) AS BIGINT)
-  FROM acts WHERE order_category_ids IS NOT NULL
+  SELECT * FROM (
+    SELECT session_id, 'order', TRY_CAST(unnest(string_split(order_category_ids, ',')) AS BIGINT)
+      AS category_id
+    FROM acts WHERE order_category_ids IS NOT NULL) WHERE category_id IS NOT NULL
   UNION ALL
   SELECT session_id, 'pay', CAST(unnest(string_split(pay_category_ids, ',')) AS BIGINT)
   FROM acts WHERE pay_category_ids IS NOT NULL
@@ -147,7 +163,7 @@ def _extract(ctes: str, total: int) -> str:
     return f"""{ctes},
 hours AS (
   SELECT strftime(t0, '%Y-%m-%d') AS date, CAST(hour(t0) AS INTEGER) AS hour, count(*) AS hour_count
-  FROM adults GROUP BY 1, 2
+  FROM adults WHERE t0 IS NOT NULL GROUP BY 1, 2
 ),
 days AS (SELECT date, CAST(sum(hour_count) AS BIGINT) AS day_count FROM hours GROUP BY date),
 quotas AS (
@@ -162,7 +178,7 @@ quotas AS (
 _DRAW = """,
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY strftime(t0, '%Y-%m-%d'), hour(t0)
-                               ORDER BY md5(session_id || 'task-1'), session_id) AS rn
+                               ORDER BY md5(coalesce(session_id, '') || 'task-1'), session_id) AS rn
   FROM adults
 )
 SELECT 'task-1' AS taskid, session_id AS sessionid, start_time AS "startTime",
@@ -172,11 +188,12 @@ WHERE rn <= quota"""
 
 
 def _flow_ctes(direction: str) -> str:
+    nulls = {"DESC": "DESC NULLS LAST", "ASC": "ASC NULLS FIRST"}[direction]
     return f"""WITH {_UVA},
 following AS (
   SELECT session_id, action_time, event_id, page_id,
          lead(page_id) OVER (PARTITION BY session_id
-           ORDER BY action_time {direction}, event_id {direction}) AS next_page_id
+           ORDER BY t {nulls}, event_id {direction}) AS next_page_id
   FROM uva
 ),
 target(step, a, b) AS (VALUES (1, 1, 2), (2, 2, 3), (3, 3, 4), (4, 4, 5), (5, 5, 6), (6, 6, 7)),
@@ -219,7 +236,7 @@ ad AS (
          CASE WHEN event_id % 2 = 0 THEN 7 ELSE user_id % 100 END AS userid,
          CASE WHEN event_id % 2 = 0 THEN 1 ELSE event_id % 20 END AS adid,
          ts, strftime(ts, '%Y%m%d') AS date
-  FROM events
+  FROM events WHERE event_id % 97 NOT IN (5, 6, 7)
 )"""
 _AD_CTES = f"""WITH {_AD},
 user_clicks AS (
@@ -229,6 +246,20 @@ city_clicks AS (
   SELECT date, province, city, adid, count(*) AS click_count
   FROM ad GROUP BY date, province, city, adid
 )"""
+# The stream's micro-batches: a user over the limit in one is dropped from the next one on.
+_OVER = "GROUP BY date, userid, adid HAVING count(*) > 100"
+_AD_REPLAY = f"""WITH {_AD},
+part AS (
+  SELECT *, CASE WHEN ts >= '2024-01-21' THEN 1 WHEN ts >= '2024-01-11' THEN 2 ELSE 3 END AS part
+  FROM ad
+),
+kept1 AS (SELECT * FROM part WHERE part = 1),
+over1 AS (SELECT userid FROM kept1 {_OVER}),
+kept2 AS (SELECT * FROM part WHERE part = 2 AND userid NOT IN (SELECT userid FROM over1)),
+over2 AS (SELECT userid FROM over1 UNION SELECT userid FROM kept2 {_OVER}),
+kept3 AS (SELECT * FROM part WHERE part = 3 AND userid NOT IN (SELECT userid FROM over2)),
+over3 AS (SELECT userid FROM over2 UNION SELECT userid FROM kept3 {_OVER}),
+kept AS (SELECT * FROM kept1 UNION ALL SELECT * FROM kept2 UNION ALL SELECT * FROM kept3)"""
 _AD_FIELDS = "ts_ms, province, city, userid, adid"
 _AD_MINUTE = (
     "SELECT date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, adid, "
@@ -263,7 +294,7 @@ req AS (
          CASE WHEN user_id % 5 = 0 THEN
            CASE (event_id // 8) % 6 WHEN 0 THEN 'www.baidu.com' WHEN 1 THEN 'www.sogou.com'
              WHEN 2 THEN 'cn.bing.com' WHEN 3 THEN 'search.yahoo.com' END END AS host
-  FROM events WHERE event_id % 8 < 6
+  FROM events WHERE event_id % 8 < 6 AND event_id % 89 NOT IN (2, 3, 4)
 )"""
 
 # Courses.
@@ -281,7 +312,7 @@ searches AS (
 def oracle_sql() -> dict[str, str]:
     sql = {
         "action_range_scan":
-            f"WITH {_UVA} SELECT * FROM uva WHERE date BETWEEN '2024-01-06' AND '2024-01-20'",
+            f"WITH {_UVA} SELECT * EXCLUDE (t) FROM uva WHERE date BETWEEN '2024-01-06' AND '2024-01-20'",
         "area_click_scan":
             f"WITH {_UVA} SELECT city_id, click_product_id FROM uva "
             "WHERE date BETWEEN '2024-01-06' AND '2024-01-20' AND click_product_id <> -1",
@@ -292,14 +323,30 @@ def oracle_sql() -> dict[str, str]:
             f"{_SESSION_CTES} SELECT {_SESSION_COLUMNS}, age, professional, sex, city "
             "FROM adults WHERE wanted",
         "filtered_actions":
-            f"{_SESSION_CTES} SELECT * FROM uva "
-            "WHERE session_id IN (SELECT session_id FROM adults WHERE wanted)",
+            f"{_SESSION_CTES} SELECT uva.* EXCLUDE (t) FROM uva "
+            "JOIN (SELECT session_id AS sid FROM adults WHERE wanted) "
+            "ON session_id IS NOT DISTINCT FROM sid",
+        "session_filter_all":
+            f"{_SESSION_CTES} SELECT {_SESSION_COLUMNS}, age, professional, sex, city "
+            "FROM fullinfo WHERE picked AND age BETWEEN 10 AND 55 AND sex = 'male' "
+            "AND CAST(substr(professional, 13) AS INT) < 80 AND CAST(substr(city, 5) AS INT) < 20",
+        "session_values":
+            f"{_SESSION_CTES} SELECT session_id, 'keyword' AS kind, search_keyword AS value, "
+            "count(*) AS n FROM uva WHERE search_keyword IS NOT NULL GROUP BY ALL UNION ALL "
+            "SELECT session_id, 'category', CAST(click_category_id AS VARCHAR), count(*) FROM uva "
+            "WHERE click_category_id <> -1 GROUP BY ALL",
+        "category_id_counts":
+            f"""WITH {_UVA}, ids AS (
+                  SELECT unnest(string_split(order_category_ids, ',')) AS id FROM uva
+                  UNION ALL SELECT unnest(string_split(pay_category_ids, ',')) FROM uva)
+                SELECT count(*) AS ids, count(*) FILTER (WHERE id = 'x') AS malformed FROM ids""",
         "visit_length_histogram": _histogram(_VISIT, "visit_length"),
         "step_length_histogram": _histogram(_STEP, "step_length"),
         "session_ratio": _ratio(),
         "session_hour_count":
             f"{_SESSION_CTES} SELECT strftime(t0, '%Y-%m-%d') AS date, "
-            "CAST(hour(t0) AS INTEGER) AS hour, count(*) AS hour_count FROM adults GROUP BY 1, 2",
+            "CAST(hour(t0) AS INTEGER) AS hour, count(*) AS hour_count FROM adults "
+            "WHERE t0 IS NOT NULL GROUP BY 1, 2",
         "extract_quota": _extract(_SESSION_CTES, 900) + " SELECT * FROM quotas",
         "session_random_extract": _extract(_SESSION_CTES, 900) + _DRAW,
         "session_random_extract_three_days":
@@ -318,13 +365,8 @@ def oracle_sql() -> dict[str, str]:
             f"""{_CATEGORY} SELECT 'task-1' AS taskid, category_id AS categoryid,
                 session_id AS sessionid, click_count AS "clickCount"
                 FROM (SELECT *, row_number() OVER (PARTITION BY category_id
-                      ORDER BY click_count DESC, session_id) AS rn FROM session_clicks)
+                      ORDER BY click_count DESC, session_id NULLS FIRST) AS rn FROM session_clicks)
                 WHERE rn <= 10""",
-        "target_page_pairs":
-            f"""{_flow_ctes('DESC')} SELECT step, CAST(a AS BIGINT) AS page_id,
-                CAST(b AS BIGINT) AS next_page_id,
-                (SELECT count(*) FROM uva WHERE page_id = a) AS page_actions,
-                (SELECT count(*) FROM uva WHERE page_id = b) AS next_page_actions FROM target""",
         "page_pairs":
             f"{_flow_ctes('DESC')} SELECT *, page_id || '_' || next_page_id AS pair "
             "FROM following WHERE next_page_id IS NOT NULL",
@@ -342,9 +384,12 @@ def oracle_sql() -> dict[str, str]:
                 SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid) AS rn
                 FROM products) WHERE rn <= 3""",
         "group_concat_distinct":
-            f"WITH {_UVA} SELECT city_id, coalesce(string_agg(DISTINCT search_keyword, ',' "
-            "ORDER BY search_keyword), '') AS keywords FROM uva GROUP BY city_id",
+            f"{_AREA} SELECT area, string_agg(DISTINCT city_id || ':' || city_name, ',' "
+            "ORDER BY city_id || ':' || city_name) AS city_infos FROM detail GROUP BY area",
         "ad_log_parse": f"{_AD_CTES} SELECT {_AD_FIELDS} FROM ad",
+        "ad_line_counts":
+            "SELECT count(*) AS lines, count(*) FILTER (WHERE event_id % 97 IN (5, 6, 7)) "
+            "AS malformed FROM events",
         "ad_user_daily_clicks": f"{_AD_CTES} SELECT * FROM user_clicks",
         "ad_user_click_lookup":
             f"""{_AD_CTES}, requests AS (
@@ -411,6 +456,9 @@ def oracle_sql() -> dict[str, str]:
                 HAVING count(*) > 2""",
         "access_log_parse":
             f"{_LOG_CTES} SELECT ip, time, course_id, status_code, referer FROM req",
+        "access_line_counts":
+            "SELECT count(*) AS lines, count(*) FILTER (WHERE event_id % 89 IN (2, 3, 4)) "
+            "AS malformed FROM events",
         "referer_host": f"{_LOG_CTES} SELECT time, course_id, host FROM req WHERE host IS NOT NULL",
         "course_daily_clicks": f"{_LOG_CTES} SELECT * FROM daily",
         "course_search_clicks": f"{_LOG_CTES} SELECT * FROM searches",
@@ -429,13 +477,6 @@ def oracle_sql() -> dict[str, str]:
         "course_search_report":
             f"{_LOG_CTES} SELECT s.course_id, name, host, click_count "
             "FROM searches s LEFT JOIN course c ON c.course_id = s.course_id WHERE day = '20240105'",
-        "course_search_grid":
-            f"""{_LOG_CTES}, of_day AS (SELECT * FROM searches WHERE day = '20240105')
-                SELECT c.course_id, name, h.host, coalesce(click_count, 0) AS click_count
-                FROM (SELECT DISTINCT course_id FROM of_day) c
-                CROSS JOIN (SELECT DISTINCT host FROM of_day) h
-                LEFT JOIN of_day o ON o.course_id = c.course_id AND o.host = h.host
-                LEFT JOIN course n ON n.course_id = c.course_id""",
         "course_day_share":
             f"""{_LOG_CTES}, total AS (
                   SELECT day, CAST(sum(click_count) AS BIGINT) AS t FROM daily GROUP BY day)
@@ -449,12 +490,26 @@ def oracle_sql() -> dict[str, str]:
             f"{_CATEGORY} SELECT category_id, count(*) AS {kind}_count FROM hits "
             f"WHERE kind = '{kind}' GROUP BY category_id"
         )
-    # A stream that has worked off its whole input holds what the batch query returns.
+    # What the streams hold after their three micro-batches.
     sql["stream_ad_ingest"] = sql["ad_log_parse"]
-    sql["stream_ad_province_city"] = sql["ad_province_city_clicks"]
-    sql["stream_ad_province_top3"] = sql["ad_province_top3"]
-    sql["stream_ad_blacklist"] = sql["ad_blacklist_users"]
-    sql["stream_ad_trend"] = f"WITH {_AD} {_AD_MINUTE} GROUP BY 1, 2, 3, 4"
+    sql["stream_ad_province_city"] = (
+        f"{_AD_REPLAY} SELECT date, province, city, adid, count(*) AS click_count "
+        "FROM kept GROUP BY ALL"
+    )
+    sql["stream_ad_province_top3"] = f"{_AD_REPLAY} {_top3('kept')}"
+    sql["stream_ad_user_clicks"] = (
+        f"{_AD_REPLAY} SELECT date, userid, adid, count(*) AS click_count FROM kept GROUP BY ALL"
+    )
+    sql["stream_ad_blacklist"] = f"{_AD_REPLAY} SELECT userid FROM over3"
+    minutes = (
+        "SELECT date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, adid, "
+        "count(*) AS click_count FROM kept"
+    )
+    sql["stream_ad_trend"] = f"{_AD_REPLAY} {minutes} GROUP BY ALL"
+    sql["stream_ad_last_hour"] = (
+        f"{_AD_REPLAY} {minutes} WHERE date_trunc('minute', ts) > "
+        "(SELECT date_trunc('minute', max(ts)) FROM kept) - INTERVAL 60 MINUTE GROUP BY ALL"
+    )
     sql["stream_course_daily"] = sql["course_daily_clicks"]
     sql["stream_course_search"] = sql["course_search_clicks"]
     return sql

@@ -28,6 +28,12 @@ SEARCHERS = TaskParams(
     start_date="2024-01-01", end_date="2024-01-31", start_age=20, end_age=50,
     keywords=("spark", "ipad"),
 )
+PICKED = TaskParams(
+    start_date="2024-01-01", end_date="2024-01-31", start_age=10, end_age=55,
+    professionals=tuple(f"professional{i}" for i in range(80)),
+    cities=tuple(f"city{i}" for i in range(20)), sex="male",
+    keywords=("spark", "ipad", "food"), category_ids=tuple(range(60)),
+)
 THREE_DAYS = TaskParams(start_date="2024-01-06", end_date="2024-01-08", start_age=20, end_age=50)
 FLOW = MONTH.target_page_flow
 EXTRACT_TOTAL = 900
@@ -94,20 +100,33 @@ def area_click_scan(spark, sf_dir):
 
 @_query
 def session_aggregate(spark, sf_dir):
-    return sessions.render_sessions(sessions.aggregate_sessions(_actions(spark, sf_dir)))
+    return sessions.render_sessions(
+        sessions.aggregate_sessions(_actions(spark, sf_dir), lists=False)
+    )
+
+
+@_query
+def session_values(spark, sf_dir):
+    return sessions.session_values(_actions(spark, sf_dir))
 
 
 @_query
 def session_full_info(spark, sf_dir):
     full = sessions.enrich(
-        sessions.aggregate_sessions(_actions(spark, sf_dir)), fixtures.users(spark, sf_dir)
+        sessions.aggregate_sessions(_actions(spark, sf_dir), lists=False),
+        fixtures.users(spark, sf_dir),
     )
     return sessions.render_sessions(full)
 
 
 @_query
 def session_filter(spark, sf_dir):
-    return sessions.render_sessions(_matching(spark, sf_dir, SEARCHERS, lists=True))
+    return sessions.render_sessions(_matching(spark, sf_dir, SEARCHERS))
+
+
+@_query
+def session_filter_all(spark, sf_dir):
+    return sessions.render_sessions(_matching(spark, sf_dir, PICKED))
 
 
 @_query
@@ -158,6 +177,11 @@ def session_random_extract_three_days(spark, sf_dir):
 
 # --- category and session rankings ----------------------------------------------------------------
 
+@_query
+def category_id_counts(spark, sf_dir):
+    return rankings.count_category_ids(_actions(spark, sf_dir))
+
+
 @_query
 def category_candidates(spark, sf_dir):
     return rankings.category_candidates(_category_events(spark, sf_dir))
@@ -190,10 +214,9 @@ def top10_categories(spark, sf_dir):
 
 
 def _top_category_clicks(spark, sf_dir):
-    top = rankings.top_categories(rankings.category_counts(_category_events(spark, sf_dir)))
-    return rankings.session_category_clicks(
-        _actions(spark, sf_dir, ADULTS), _matching(spark, sf_dir, ADULTS), top
-    )
+    events = _category_events(spark, sf_dir)
+    top = rankings.top_categories(rankings.category_counts(events))
+    return rankings.session_category_clicks(events, top)
 
 
 @_query
@@ -209,11 +232,6 @@ def top10_sessions(spark, sf_dir):
 
 # --- page flow ----------------------------------------------------------------------------------
 
-@_query
-def target_page_pairs(spark, sf_dir):
-    return page_flow.target_page_visits(_actions(spark, sf_dir), FLOW)
-
-
 @_query
 def page_pairs(spark, sf_dir):
     return page_flow.page_pairs(page_flow.following_pages(_actions(spark, sf_dir)))
@@ -260,10 +278,10 @@ def area_top3_products(spark, sf_dir):
 
 @_query
 def group_concat_distinct(spark, sf_dir):
-    return (
-        _actions(spark, sf_dir)
-        .groupBy("city_id")
-        .agg(sql_functions.group_concat_distinct(F.col("search_keyword")).alias("keywords"))
+    detail = area.area_click_detail(_clicks(spark, sf_dir), dims.cities(spark))
+    info = sql_functions.concat_long_string(F.col("city_id"), F.col("city_name"))
+    return detail.groupBy("area").agg(
+        sql_functions.group_concat_distinct(info).alias("city_infos")
     )
 
 
@@ -274,6 +292,11 @@ def ad_log_parse(spark, sf_dir):
     return _ads(spark, sf_dir)
 
 
+@_query
+def ad_line_counts(spark, sf_dir):
+    return ads.count_ad_lines(fixtures.ad_lines(fixtures.events(spark, sf_dir)))
+
+
 @_query
 def ad_user_daily_clicks(spark, sf_dir):
     return ads.user_day_clicks(_ads(spark, sf_dir))
@@ -382,6 +405,11 @@ def access_log_parse(spark, sf_dir):
     return traffic.render_clicks(_requests(spark, sf_dir))
 
 
+@_query
+def access_line_counts(spark, sf_dir):
+    return traffic.count_access_lines(fixtures.access_lines(fixtures.events(spark, sf_dir)))
+
+
 @_query
 def referer_host(spark, sf_dir):
     clicks = traffic.with_search_host(_requests(spark, sf_dir))
@@ -414,30 +442,27 @@ def course_counter_lookup(spark, sf_dir):
     return found.select(traffic.row_key(*traffic.COURSE_KEYS).alias("rowkey"), "click_count")
 
 
+# Reports read the stored counters, of which they need one day.
+
+def _stored(spark, sf_dir, name: str, count: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return traffic.store_counters(count(_requests(spark, sf_dir)), run_dir(spark, name))
+
+
 @_query
 def course_day_scan(spark, sf_dir):
-    return traffic.day_scan(traffic.course_daily(_requests(spark, sf_dir)), REPORT_DAY)
+    return traffic.day_scan(_stored(spark, sf_dir, "courses", traffic.course_daily), REPORT_DAY)
 
 
 @_query
 def course_day_report(spark, sf_dir):
-    counters = traffic.course_daily(_requests(spark, sf_dir))
+    counters = _stored(spark, sf_dir, "courses", traffic.course_daily)
     return traffic.course_report(counters, dims.courses(spark), REPORT_DAY)
 
 
 @_query
 def course_search_report(spark, sf_dir):
-    report = traffic.course_search_report(
-        traffic.course_search_daily(_requests(spark, sf_dir)), dims.courses(spark), REPORT_DAY
-    )
-    # One row per map entry, the form SQL engines agree on.
-    return report.select("course_id", "name", F.explode("search_click").alias("host", "click_count"))
-
-
-@_query
-def course_search_grid(spark, sf_dir):
-    searches = traffic.course_search_daily(_requests(spark, sf_dir))
-    return traffic.course_search_grid(searches, dims.courses(spark), REPORT_DAY)
+    searches = _stored(spark, sf_dir, "searches", traffic.course_search_daily)
+    return traffic.course_search_report(searches, dims.courses(spark), REPORT_DAY)
 
 
 @_query
@@ -445,59 +470,48 @@ def course_day_share(spark, sf_dir):
     return traffic.course_shares(traffic.course_daily(_requests(spark, sf_dir)), dims.courses(spark))
 
 
-# --- streams: the supplied events as a file stream, worked off and read back ----------------------
+# --- streams: the supplied events as a file stream of three micro-batches, newest days first ------
 
-def _ad_stream_lines(spark, sf_dir):
-    return fixtures.ad_lines(fixtures.event_stream(spark, sf_dir))
+def _ad_stream_lines(spark, sf_dir, folder):
+    return fixtures.ad_lines(fixtures.event_parts(spark, sf_dir, f"{folder}/in"))
 
 
-def _access_stream_lines(spark, sf_dir):
-    return fixtures.access_lines(fixtures.event_stream(spark, sf_dir))
+def _access_stream_lines(spark, sf_dir, folder):
+    return fixtures.access_lines(fixtures.event_parts(spark, sf_dir, f"{folder}/in"))
 
 
 @_query
 def stream_ad_ingest(spark, sf_dir):
     folder = run_dir(spark, "ad-ingest")
     ad_stream.start_ad_ingest(
-        _ad_stream_lines(spark, sf_dir), f"{folder}/out", f"{folder}/checkpoint"
+        _ad_stream_lines(spark, sf_dir, folder), f"{folder}/out", f"{folder}/checkpoint",
+        interval=None,
     ).awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 
+def _run_ad_stream(spark, sf_dir) -> ad_stream.AdTables:
+    folder = run_dir(spark, "ad-stream")
+    tables = ad_stream.AdTables.at(spark, f"{folder}/tables", compact_every=2)
+    ad_stream.start_ad_stream(
+        _ad_stream_lines(spark, sf_dir, folder), tables, f"{folder}/checkpoint", interval=None
+    ).awaitTermination()
+    return tables
+
+
 @_query
 def stream_ad_province_city(spark, sf_dir):
-    folder = run_dir(spark, "ad-province-city")
-    # The stateful stream sends totals, so the table keeps the latest one per key.
-    stat = ad_stream.AdTables.at(spark, folder).city_clicks
-    table = ad_stream.KeyedTable(
-        spark, f"{folder}/ad_stat_latest", stat.schema, "overwrite", stat.keys, stat.values,
-        partition=stat.partition,
-    )
-    updates = ad_stream.city_click_updates(_ad_stream_lines(spark, sf_dir))
-    ad_stream.start_upserts(updates, table, f"{folder}/checkpoint").awaitTermination()
-    return table.read()
+    return _run_ad_stream(spark, sf_dir).city_clicks.read()
 
 
 @_query
 def stream_ad_trend(spark, sf_dir):
-    folder = run_dir(spark, "ad-trend")
-    trend = ad_stream.AdTables.at(spark, folder).trend
-    table = ad_stream.KeyedTable(
-        spark, f"{folder}/ad_click_trend_latest", trend.schema, "overwrite", trend.keys,
-        trend.values, partition=trend.partition,
-    )
-    updates = ad_stream.minute_click_updates(_ad_stream_lines(spark, sf_dir))
-    ad_stream.start_upserts(updates, table, f"{folder}/checkpoint").awaitTermination()
-    return table.read()
+    return _run_ad_stream(spark, sf_dir).trend.read()
 
 
-def _run_ad_stream(spark, sf_dir) -> ad_stream.AdTables:
-    folder = run_dir(spark, "ad-stream")
-    tables = ad_stream.AdTables.at(spark, f"{folder}/tables")
-    ad_stream.start_ad_stream(
-        _ad_stream_lines(spark, sf_dir), tables, f"{folder}/checkpoint", interval=None
-    ).awaitTermination()
-    return tables
+@_query
+def stream_ad_last_hour(spark, sf_dir):
+    return ads.last_minutes(_run_ad_stream(spark, sf_dir).trend.read())
 
 
 @_query
@@ -505,6 +519,11 @@ def stream_ad_province_top3(spark, sf_dir):
     return _run_ad_stream(spark, sf_dir).province_top.read()
 
 
+@_query
+def stream_ad_user_clicks(spark, sf_dir):
+    return _run_ad_stream(spark, sf_dir).user_clicks.read()
+
+
 @_query
 def stream_ad_blacklist(spark, sf_dir):
     return _run_ad_stream(spark, sf_dir).blacklist.read()
@@ -512,9 +531,9 @@ def stream_ad_blacklist(spark, sf_dir):
 
 def _run_traffic_stream(spark, sf_dir) -> traffic_stream.TrafficTables:
     folder = run_dir(spark, "traffic-stream")
-    tables = traffic_stream.TrafficTables.at(spark, f"{folder}/tables")
+    tables = traffic_stream.TrafficTables.at(spark, f"{folder}/tables", compact_every=2)
     traffic_stream.start_traffic_stream(
-        _access_stream_lines(spark, sf_dir), tables, f"{folder}/checkpoint", interval=None
+        _access_stream_lines(spark, sf_dir, folder), tables, f"{folder}/checkpoint", interval=None
     ).awaitTermination()
     return tables
 

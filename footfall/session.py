@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Runtime settings the operators rely on. Partition counts and sizes are left to the
-# cluster: AQE coalesces and splits shuffle partitions from their measured sizes.
-RUNTIME_SETTINGS = {
-    # Day and minute keys are cut from epoch milliseconds in the session's zone.
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Split a hot key even where that costs a later shuffle.
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Lets `row_number() <= k` drop rows before the shuffle for every k used here.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
-    # Scans are pruned by dates known beforehand; pruning by join would run the other side twice.
-    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "false",
-    # Streaming state larger than the executors' heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
+# The one setting that results depend on: day and minute keys are cut from epoch milliseconds
+# in the session's zone. All else is the cluster's.
+RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
+# Parts that the rows of one key are dealt into by :func:`spread_join`.
+SALTS = 32
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -44,39 +33,37 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a session on this machine alone may do without; it uses a folder below its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="footfall-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
     return folder.rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run below the shared folder."""
-    return f"{shared_dir(spark)}/footfall/{name}-{uuid.uuid4().hex}"
+    """A fresh folder for one run below the shared folder; it goes when the session's JVM ends."""
+    folder = f"{shared_dir(spark)}/footfall/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
 
 
-def broadcast_within(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:
-    """Hint a broadcast for a frame known to hold ``rows`` rows, if they are few.
+def spread_join(rows: DataFrame, side: DataFrame, keys: list[str], by: list[str], how: str,
+                salts: int = SALTS) -> DataFrame:
+    """Join on ``keys``, nulls being equal, with the rows of each key dealt into ``salts`` parts.
 
-    Beyond the limit no hint is given and Spark joins by shuffling.
+    The part is a hash of the columns ``by``, and ``side``, which has each key at most once, is
+    copied once for each part; so no key's rows meet in one task, whatever the sizes are.
     """
-    return F.broadcast(df) if rows <= limit else df
-
-
-def fixed_side(df: DataFrame) -> DataFrame:
-    """Compute a join side once and keep it in the checkpoint folder, so that its size is known.
-
-    A short one is broadcast, which spares the shuffle of the other side. A long one is
-    joined by shuffle; coming from the checkpoint and not from an aggregate on the join key, it
-    gets an exchange of its own, which AQE needs to split the other side's hot keys.
-    """
-    shared_dir(df.sparkSession)
-    fixed = df.checkpoint()
-    return broadcast_within(fixed, fixed.count())
+    part = F.pmod(F.hash(*by), F.lit(salts))
+    copies = side.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = copies.withColumnsRenamed({key: f"_{key}" for key in keys})
+    same: list[Column] = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    dealt = rows.withColumn("_own_part", part)
+    joined = dealt.join(copies, reduce(and_, same, F.col("_own_part") == F.col("_part")), how)
+    return joined.drop("_own_part", "_part", *(f"_{key}" for key in keys))

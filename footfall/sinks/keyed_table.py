@@ -73,17 +73,22 @@ class KeyedTable:
     def _merged(
         self, bases: list[tuple[int, str]], deltas: list[str], partitions: Sequence[str] | None
     ) -> DataFrame:
-        rows = self._load([*self._in_force(bases), *deltas])
+        rows = self._load([*self._in_force(bases, partitions), *deltas])
         if partitions is not None:
             rows = rows.filter(F.col(self.partition).isin(*partitions))
         return merge_versions(rows, self.mode, self.keys, self.values, self.group)
 
-    def _in_force(self, bases: list[tuple[int, str]]) -> list[str]:
-        """The latest base folder of every partition value."""
+    def _in_force(
+        self, bases: list[tuple[int, str]], partitions: Sequence[str] | None = None
+    ) -> list[str]:
+        """The latest base folder of every partition value, or of the wanted ones alone."""
         folders = {}
+        wanted = None if partitions is None else {f"{self.partition}={p}" for p in partitions}
         for _, folder in bases:
             if self.partition:
-                folders.update({name: f"{folder}/{name}" for name in self._partitions(folder)})
+                names = self._partitions(folder)
+                folders.update({name: f"{folder}/{name}" for name in names
+                                if wanted is None or name in wanted})
             else:
                 folders[""] = folder
         return list(folders.values())

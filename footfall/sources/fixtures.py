@@ -14,6 +14,9 @@ EVENTS_SCHEMA = (
     "value DOUBLE, props STRING"
 )
 
+# The micro-batches of the checked streams, and the files each is written as.
+PARTS = (("2024-01-21", None), ("2024-01-11", "2024-01-21"), (None, "2024-01-11"))
+PART_FILES = 2
 # Fixed values of the test views.
 SPANS = (4, 7, 10, 31, 61, 181, 601, 1801, 3600)
 KEYWORDS = (
@@ -46,13 +49,27 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.parquet(path)
 
 
+def event_parts(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """``events`` as a file stream of three micro-batches, the newest days first."""
+    ev = events(spark, sf_dir)
+    for since, before in PARTS:
+        # Files are taken up in the order in which they were written.
+        month(ev, since, before).repartition(PART_FILES).write.mode("append").parquet(folder)
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", PART_FILES)
+    return reader.parquet(folder)
+
+
 def _pick(values: tuple, index: str) -> str:
     items = ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}L" for v in values)
     return f"element_at(array({items}), CAST({index} AS INT) + 1)"
 
 
 def visit_actions(ev: DataFrame) -> DataFrame:
-    """``user_visit_action`` plus ``event_id``, the order of equal action times."""
+    """``user_visit_action`` plus ``event_id``, the order of equal action times.
+
+    Some sessions have no id; some times have single digits, some a zone (unreadable); some lists
+    of ordered categories hold an ``x``.
+    """
     return (
         ev.selectExpr(
             "*",
@@ -68,10 +85,15 @@ def visit_actions(ev: DataFrame) -> DataFrame:
         .selectExpr(
             "date",
             "user_id",
-            "concat('s', user_id, '-', bno) AS session_id",
+            "CASE WHEN user_id % 50 = 49 AND bno = 0 THEN NULL"
+            " ELSE concat('s', user_id, '-', bno) END AS session_id",
             "event_id % 10 AS page_id",
-            "concat(date, ' ', lpad((user_id * 7 + bno * 5) % 23, 2, '0'), ':',"
-            " lpad(CAST(floor(off / 60) AS BIGINT), 2, '0'), ':', lpad(off % 60, 2, '0'))"
+            "CASE event_id % 83"
+            " WHEN 1 THEN concat(replace(date, '-0', '-'), ' ', (user_id * 7 + bno * 5) % 23, ':',"
+            " CAST(floor(off / 60) AS BIGINT), ':', off % 60)"
+            " ELSE concat(date, ' ', lpad((user_id * 7 + bno * 5) % 23, 2, '0'), ':',"
+            " lpad(CAST(floor(off / 60) AS BIGINT), 2, '0'), ':', lpad(off % 60, 2, '0'),"
+            " CASE WHEN event_id % 83 = 2 THEN ' +05:00' ELSE '' END) END"
             " AS action_time",
             f"CASE WHEN event_type = 'view' THEN {_pick(KEYWORDS, 'event_id % 9')} END"
             " AS search_keyword",
@@ -80,7 +102,8 @@ def visit_actions(ev: DataFrame) -> DataFrame:
             "CASE WHEN event_type IN ('click', 'error') THEN event_id * 13 % 100 ELSE -1L END"
             " AS click_product_id",
             "CASE WHEN event_type = 'signup' THEN concat(event_id % 100,"
-            " CASE WHEN event_id % 3 = 0 THEN concat(',', event_id * 3 % 100) ELSE '' END) END"
+            " CASE WHEN event_id % 3 = 0 THEN concat(',', event_id * 3 % 100) ELSE '' END,"
+            " CASE WHEN event_id % 7 = 0 THEN ',x' ELSE '' END) END"
             " AS order_category_ids",
             "CASE WHEN event_type = 'purchase' THEN concat(event_id % 100,"
             " CASE WHEN event_id % 4 = 0 THEN concat(',', event_id * 7 % 100) ELSE '' END) END"
@@ -109,26 +132,37 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ad_lines(ev: DataFrame) -> DataFrame:
-    """Ad log lines: epoch milliseconds, province, city, user and ad, joined by blanks."""
+    """Ad log lines: epoch milliseconds, province, city, user and ad, joined by blanks.
+
+    Three of 97 cannot be read: no fields, a time beyond the year 9999, a user that is no number.
+    """
     return ev.selectExpr(
         "event_id",
         "ts",
-        "concat_ws(' ', unix_millis(CAST(ts AS TIMESTAMP)), user_id % 10, user_id % 10,"
-        " CASE WHEN event_id % 2 = 0 THEN 7L ELSE user_id % 100 END,"
-        " CASE WHEN event_id % 2 = 0 THEN 1L ELSE event_id % 20 END) AS value",
+        "CASE WHEN event_id % 97 = 5 THEN 'no click' ELSE concat_ws(' ',"
+        " CASE WHEN event_id % 97 = 7 THEN 253402300800000 ELSE"
+        " unix_millis(CAST(ts AS TIMESTAMP)) END, user_id % 10, user_id % 10,"
+        " concat(CASE WHEN event_id % 97 = 6 THEN 'u' ELSE '' END,"
+        " CASE WHEN event_id % 2 = 0 THEN 7L ELSE user_id % 100 END),"
+        " CASE WHEN event_id % 2 = 0 THEN 1L ELSE event_id % 20 END) END AS value",
     )
 
 
 def access_lines(ev: DataFrame) -> DataFrame:
-    """Tab-separated access log lines."""
+    """Tab-separated access log lines; of 89 one has a time with single digits, and three cannot
+    be read: a time with a zone, a bare date, a status that is no number."""
     return ev.selectExpr(
         "event_id",
         "concat_ws('\\t', concat('10.0.', user_id % 250, '.', event_id % 250),"
-        " date_format(ts, 'yyyy-MM-dd HH:mm:ss'),"
+        " CASE event_id % 89 WHEN 1 THEN date_format(ts, 'yyyy-M-d H:m:s')"
+        " WHEN 2 THEN concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ' +05:00')"
+        " WHEN 3 THEN concat(date_format(ts, 'yyyy-MM-dd'), '        ')"
+        " ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END,"
         f" concat('\"GET /', {_pick(PATHS, 'event_id % 8')}, ' HTTP/1.1\"'),"
         " CASE WHEN user_id % 5 = 0 THEN "
         f"{_pick(REFERERS, 'floor(event_id / 8) % 6')} ELSE '-' END,"
-        f" {_pick(('200', '404', '500'), 'event_id % 3')}) AS value",
+        f" CASE WHEN event_id % 89 = 4 THEN 'ok' ELSE {_pick(('200', '404', '500'), 'event_id % 3')}"
+        " END) AS value",
     )
 
 

@@ -1,22 +1,9 @@
-"""Schemas and readers of the input tables."""
+"""Readers of the input tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-USER_VISIT_ACTION = (
-    "date STRING, user_id BIGINT, session_id STRING, page_id BIGINT, action_time STRING, "
-    "search_keyword STRING, click_category_id BIGINT, click_product_id BIGINT, "
-    "order_category_ids STRING, order_product_ids STRING, pay_category_ids STRING, "
-    "pay_product_ids STRING, city_id BIGINT"
-)
-USER_INFO = (
-    "user_id BIGINT, username STRING, name STRING, age INT, professional STRING, "
-    "city STRING, sex STRING"
-)
-PRODUCT_INFO = "product_id BIGINT, product_name STRING, extend_info STRING"
-
-
 def user_visit_actions(spark: SparkSession, name: str = "user_visit_action") -> DataFrame:
     """The action fact table; partitioned by ``date``, so date ranges prune partitions."""
     return spark.table(name)
@@ -25,7 +12,3 @@ def user_visit_actions(spark: SparkSession, name: str = "user_visit_action") ->
 def user_info(spark: SparkSession, name: str = "user_info") -> DataFrame:
     return spark.table(name)
 
-
-def read_files(spark: SparkSession, path: str, schema: str, format: str = "parquet") -> DataFrame:
-    """The same tables kept as plain files."""
-    return spark.read.schema(schema).format(format).load(path)

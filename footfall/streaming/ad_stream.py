@@ -10,6 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators import ads
 from footfall.sinks.keyed_table import KeyedTable
+
+# Days of one micro-batch that are read one by one; a batch with more reads whole tables.
+MOST_DAYS = 366
 MALFORMED = "source STRING, line_count BIGINT"
 
 
@@ -78,7 +81,8 @@ def process_batch(
         tables.malformed.write(malformed_count(counts, "date", "ad log"), batch_id)
         cells = counts.filter(F.col("date").isNotNull())
         # Days with clicks in this batch.
-        days = [row["date"] for row in cells.select("date").distinct().collect()]
+        days = [r["date"] for r in cells.select("date").distinct().limit(MOST_DAYS + 1).collect()]
+        days = days if len(days) <= MOST_DAYS else None
 
         tables.user_clicks.write(ads.sum_clicks(cells, *ads.USER_KEYS), batch_id)
         touched = cells.select(*ads.USER_KEYS).distinct()
@@ -119,64 +123,16 @@ def start_ad_stream(
     )
 
 
-def start_ad_ingest(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append parsed ad clicks to files."""
+def start_ad_ingest(
+    lines: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds"
+) -> StreamingQuery:
+    """Append parsed ad clicks to files; ``interval=None`` works off what is there."""
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         ads.parse_ad_log(lines)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def _clicks_with_time(lines: DataFrame) -> DataFrame:
-    return ads.parse_ad_log(lines).withColumn("at", F.timestamp_millis("ts_ms"))
-
-
-def city_click_updates(lines: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Running clicks per day, province, city and ad as a stateful stream.
-
-    The day is an event-time window, so the watermark removes finished days from the state.
-    """
-    return (
-        _clicks_with_time(lines)
-        .withWatermark("at", lateness)
-        .groupBy(F.window("at", "1 day").alias("day"), "province", "city", "adid")
-        .agg(F.count("*").alias("click_count"))
-        .select(
-            F.date_format("day.start", "yyyyMMdd").alias("date"),
-            "province", "city", "adid", "click_count",
-        )
-    )
-
-
-def minute_click_updates(lines: DataFrame, lateness: str = "60 minutes") -> DataFrame:
-    """Running clicks per minute and ad; minutes older than the watermark are final."""
-    return (
-        _clicks_with_time(lines)
-        .withWatermark("at", lateness)
-        .groupBy(F.window("at", "1 minute").alias("slot"), "adid")
-        .agg(F.count("*").alias("click_count"))
-        .select(
-            F.date_format("slot.start", "yyyyMMdd").alias("date"),
-            F.date_format("slot.start", "HH").alias("hour"),
-            F.date_format("slot.start", "mm").alias("minute"),
-            "adid", "click_count",
-        )
-    )
-
-
-def start_upserts(
-    updates: DataFrame, table: KeyedTable, checkpoint: str, interval: str | None = None
-) -> StreamingQuery:
-    """Write the changed rows of a stateful stream over a table's earlier ones."""
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (
-        updates.writeStream.outputMode("update")
-        .foreachBatch(lambda df, batch_id: table.write(df, batch_id))
-        .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )

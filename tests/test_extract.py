@@ -5,7 +5,7 @@ from math import floor
 
 from pyspark.sql import functions as F
 
-from footfall.operators import extract
+from footfall.operators import extract, sessions
 from tests.helpers import actions, rows
 
 # Day and hour -> sessions; the hour of 200 holds most of them.
@@ -57,6 +57,15 @@ def test_seed_decides_the_draw(spark):
     assert first == again != other
 
 
+def test_sessions_without_id_or_time(spark):
+    df = actions(spark, {"session": None, "keyword": "a"}, {"session": "x", "time": "no time"})
+    both = sessions.aggregate_sessions(df)
+    assert both.count() == 2
+    assert rows(extract.hour_counts(both)) == [("2024-01-01", 10, 1)]
+    drawn = extract.draw_sessions(both, 10)
+    assert rows(extract.extract_rows(drawn, df)) == [(None, "2024-01-01 10:00:00", "a", None)]
+
+
 def test_no_sessions_give_no_rows(spark):
     none = _sessions(spark).filter("false")
     assert extract.draw_sessions(none).count() == 0

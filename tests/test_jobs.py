@@ -7,7 +7,7 @@ from footfall.operators import area, scans
 from footfall.params import TaskParams, task_params_from_json
 from footfall.plans import jobs
 from footfall.plans.queries import queries
-from footfall.session import broadcast_within, run_dir, shared_dir
+from footfall.session import RUNTIME_SETTINGS, run_dir, shared_dir, spread_join
 from footfall.sinks.results import ResultSink, replace_table
 from footfall.sources import dims, fixtures, tables
 from tests.helpers import plan, rows
@@ -108,7 +108,35 @@ def test_state_lives_in_the_checkpoint_folder(spark):
     assert run_dir(spark, "x") != run_dir(spark, "x")
 
 
-def test_broadcast_needs_a_small_side(spark):
-    df = spark.range(10).withColumnRenamed("id", "k")
-    assert "ResolvedHint" in broadcast_within(df, 10)._jdf.queryExecution().analyzed().toString()
-    assert broadcast_within(df, 10, limit=9) is df
+def test_report_command(spark, tmp_path, capsys):
+    line = '10.0.0.1\t2024-01-05 10:11:12\t"GET /class/112.html HTTP/1.1"\thttps://x.com/s\t200'
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text(line + "\n")
+    command.main([
+        "traffic-stream", "--text", f"{tmp_path}/in", "--tables", f"{tmp_path}/t", "--checkpoint",
+        f"{tmp_path}/c", "--once",
+    ])
+    command.main(["report", "--tables", f"{tmp_path}/t", "--day", "20240105",
+                  "--output", f"{tmp_path}/out"])
+    assert rows(spark.read.parquet(f"{tmp_path}/out/course_report").drop("taskid")) == [
+        (112, "spark in action", 1, 100.0)
+    ]
+    assert rows(spark.read.parquet(f"{tmp_path}/out/course_search_report").drop("taskid")) == [
+        (112, "spark in action", "x.com", 1)
+    ]
+
+
+def test_configure_leaves_the_other_settings_alone(spark):
+    assert RUNTIME_SETTINGS == {"spark.sql.session.timeZone": "UTC"}
+
+
+def test_spread_join_equals_a_join(spark):
+    rows_ = spark.createDataFrame([(i % 3 if i % 4 else None, i) for i in range(60)], "k INT, v INT")
+    side = spark.createDataFrame([(0, "a"), (None, "n"), (9, "x")], "k INT, name STRING")
+    semi = spread_join(rows_, side.select("k"), ["k"], ["v"], "left_semi")
+    assert rows(semi) == rows(rows_.filter("k = 0 OR k IS NULL"))
+    anti = spread_join(rows_, side.select("k"), ["k"], ["v"], "left_anti")
+    assert rows(anti) == rows(rows_.filter("k > 0"))
+    left = spread_join(rows_, side, ["k"], ["v"], "left")
+    assert left.columns == ["k", "v", "name"] and left.count() == 60
+    assert left.filter("name = 'n'").count() == 15

@@ -101,3 +101,17 @@ def test_unfinished_writes_are_ignored(spark, tmp_path):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         merge_versions(stack_versions(frame(spark)), "upsert", ["k"])
+
+
+def test_reads_of_one_day_load_that_day_alone(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "t"), "day STRING, k INT, n BIGINT", "add",
+                       ["day", "k"], ["n"], partition="day", compact_every=2)
+    for batch_id in range(4):
+        data = [(f"2024010{d}", batch_id, 1) for d in range(1, 6)]
+        table.write(spark.createDataFrame(data, "day STRING, k INT, n BIGINT"), batch_id)
+    loaded = []
+    load = KeyedTable._load
+    monkeypatch.setattr(KeyedTable, "_load", lambda self, f: loaded.extend(f) or load(self, f))
+    assert table.read(partitions=["20240102"]).count() == 4
+    assert [f.rsplit("/", 1)[1] for f in loaded] == ["day=20240102"]
+    assert table.read(partitions=[]).count() == 0

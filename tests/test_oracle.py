@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from footfall.plans.oracle import oracle_sql
+from footfall.plans.queries import queries
 from tests.compare import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"

@@ -35,22 +35,31 @@ def _data(n=400):
 
 
 @pytest.mark.parametrize("direction", ["desc", "asc"])
-@pytest.mark.parametrize("limit", [10_000, 50, 7])
-def test_following_pages(spark, direction, limit):
+def test_following_pages(spark, direction):
+    """The long session runs over three hours, with rows of every hour in any order."""
     data = _data()
-    got = page_flow.following_pages(actions(spark, *data), direction, limit)
+    got = page_flow.following_pages(actions(spark, *data), direction)
     assert sorted(
         (tuple(r) for r in got.select("event_id", "page_id", "next_page_id").collect())
     ) == _by_hand(data, direction)
 
 
-def test_rates_of_long_sessions(spark):
-    df = actions(spark, *_data())
-    whole = page_flow.page_convert_rates(page_flow.following_pages(df), (1, 2, 3, 4))
-    cut = page_flow.page_convert_rates(
-        page_flow.following_pages(df, max_session_rows=20), (1, 2, 3, 4)
-    )
-    assert rows(whole) == rows(cut)
+def test_sessions_over_many_hours(spark):
+    times = [f"2024-01-0{1 + h // 24} {h % 24:02d}:30:00" for h in range(60)]
+    data = [{"session": "a", "time": t, "page": i} for i, t in enumerate(times)]
+    data.append({"session": "a", "time": "2024-1-3 12:0", "page": 99})  # no time: the oldest
+    got = page_flow.following_pages(actions(spark, *data), "desc")
+    pages = {r["page_id"]: r["next_page_id"] for r in got.collect()}
+    assert pages == {**{i: i - 1 for i in range(1, 60)}, 0: 99, 99: None}
+    got = page_flow.following_pages(actions(spark, *data), "asc")
+    pages = {r["page_id"]: r["next_page_id"] for r in got.collect()}
+    assert pages == {99: 0, **{i: i + 1 for i in range(59)}, 59: None}
+
+
+def test_building_the_query_runs_no_job(spark):
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    page_flow.following_pages(actions(spark, *_data()))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
 
 
 def test_single_action_has_no_pair(spark):
@@ -84,11 +93,8 @@ def test_newest_first(spark):
     assert [tuple(r) for r in counts.collect()] == [(1, "1_2", 1), (2, "2_1", 2)]
 
 
-def test_target_pairs(spark):
+def test_target_pairs():
     assert page_flow.target_pairs((1, 2, 4)) == [(1, 1, 2), (2, 2, 4)]
-    df = actions(spark, {"page": 1}, {"page": 1}, {"page": 4})
-    got = page_flow.target_page_visits(df, (1, 2, 4))
-    assert [tuple(r) for r in got.collect()] == [(1, 1, 2, 2, 0), (2, 2, 4, 0, 1)]
 
 
 def test_bad_parameters(spark):

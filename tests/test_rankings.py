@@ -50,7 +50,22 @@ def test_only_given_sessions_count(spark, df):
 def test_session_clicks(spark, df):
     kept = spark.createDataFrame([("a",), ("b",), ("c",)], "session_id STRING")
     top = spark.createDataFrame([(1,), (4,)], "category_id BIGINT")
-    assert rows(rankings.session_category_clicks(df, kept, top)) == [("a", 1, 3)]
+    events = rankings.session_category_events(df, kept)
+    assert rows(rankings.session_category_clicks(events, top)) == [("a", 1, 3)]
+
+
+def test_sessions_without_id_count(spark):
+    df = actions(spark, {"session": None, "click": 1}, {"session": "x", "click": 1},
+                 {"session": None, "click": 2})
+    kept = spark.createDataFrame([(None,), ("x",)], "session_id STRING")
+    events = rankings.session_category_events(df, kept)
+    assert rows(rankings.kind_counts(events, "click")) == [(1, 2), (2, 1)]
+    top = rankings.top_categories(rankings.category_counts(events))
+    assert rankings.session_category_clicks(events, top).count() == 3
+
+
+def test_malformed_ids_are_counted(df):
+    assert rankings.count_category_ids(df).first() == (9, 2)
 
 
 def test_top_sessions(spark):

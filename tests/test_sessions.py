@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from footfall.functions import parsing
 from footfall.operators import scans, sessions
 from footfall.params import TaskParams
 from tests.helpers import actions, rows, users
@@ -116,6 +117,32 @@ def test_ratios_without_sessions(spark):
     assert set(row[1:]) == {0.0}
 
 
+@pytest.mark.parametrize("text, want", [
+    ("2024-01-05 09:00:00", "2024-01-05 09:00:00"), ("2024-1-5 9:0:0", "2024-01-05 09:00:00"),
+    ("2024-01-05 9:00:00", "2024-01-05 09:00:00"), ("2024-01-05        ", None),
+    ("2024-01-05 10:00:00 +05:00", None), ("2024-01-05T10:00:00", None),
+    ("2024-01-05 10:00:00.5", None), ("", None), (None, None), ("2024-02-30 10:00:00", None),
+])
+def test_times(spark, text, want):
+    df = spark.createDataFrame([(text,)], "t STRING")
+    got = df.select(parsing.format_time(parsing.action_timestamp(df.t))).first()[0]
+    assert got == want
+
+
+def test_values_in_long_form(spark):
+    df = actions(spark, {"session": "a", "keyword": "k"}, {"session": "a", "keyword": "k"},
+                 {"session": None, "click": 3}, {"session": "a", "keyword": ""}, {"click": -1})
+    assert rows(sessions.session_values(df)) == [
+        (None, "category", "3", 1), ("a", "keyword", "k", 2)
+    ]
+
+
+def test_actions_without_id_are_one_session(spark):
+    df = actions(spark, {"session": None, "page": 1}, {"session": "x"}, {"session": None})
+    kept = sessions.keep_session_actions(df, sessions.aggregate_sessions(df))
+    assert kept.count() == 3
+
+
 def test_session_actions(spark):
     df = actions(spark, {"session": "a"}, {"session": "a"}, {"session": "b"})
     kept = sessions.keep_session_actions(df, sessions.aggregate_sessions(df).filter("step_length = 2"))

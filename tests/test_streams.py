@@ -132,26 +132,6 @@ def test_empty_batch(spark, tmp_path):
     assert rows(tables.malformed.read()) == [("ad log", 3)]
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_stateful_counts(spark, events, tmp_path, parts):
-    split_files(events, f"{tmp_path}/in", parts)
-    at = ad_stream.AdTables.at(spark, f"{tmp_path}/tables")
-    clicks = ads.parse_ad_log(fixtures.ad_lines(events))
-    for name, updates, like, want in (
-        ("city", ad_stream.city_click_updates, at.city_clicks, ads.province_city_clicks(clicks)),
-        ("minute", ad_stream.minute_click_updates, at.trend, ads.minute_clicks(clicks)),
-    ):
-        table = ad_stream.KeyedTable(
-            spark, f"{tmp_path}/{name}", like.schema, "overwrite", like.keys, like.values,
-            partition="date",
-        )
-        source = fixtures.ad_lines(
-            fixtures.event_stream(spark, f"{tmp_path}/in", files_per_trigger=1)
-        )
-        ad_stream.start_upserts(updates(source), table, f"{tmp_path}/{name}-cp").awaitTermination()
-        assert rows(table.read()) == rows(want)
-
-
 def write_lines(folder, *files):
     os.makedirs(folder)
     for i, content in enumerate(files):
@@ -161,23 +141,33 @@ def write_lines(folder, *files):
         os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
 
 
-def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
+def test_late_rows_count(spark, tmp_path):
     write_lines(
         f"{tmp_path}/in",
         [click("2024-01-01 12:00:00")],
         [click("2024-01-01 14:00:00")],
-        [click("2024-01-01 10:00:00"), click("2024-01-01 13:30:00")],
-    )
-    like = ad_stream.AdTables.at(spark, f"{tmp_path}/t").trend
-    table = ad_stream.KeyedTable(
-        spark, f"{tmp_path}/minute", like.schema, "overwrite", like.keys, like.values,
-        partition="date",
+        [click("2023-01-01 10:00:00"), click("2024-01-01 12:00:30")],
     )
+    tables = ad_stream.AdTables.at(spark, f"{tmp_path}/t")
     source = streams.text_lines(spark, f"{tmp_path}/in", files_per_trigger=1)
-    ad_stream.start_upserts(
-        ad_stream.minute_click_updates(source), table, f"{tmp_path}/cp"
-    ).awaitTermination()
-    assert [r[1:3] for r in rows(table.read())] == [("12", "00"), ("13", "30"), ("14", "00")]
+    ad_stream.start_ad_stream(source, tables, f"{tmp_path}/cp", interval=None).awaitTermination()
+    assert [(r[0][:4], r[1], r[4]) for r in rows(tables.trend.read())] == [
+        ("2023", "10", 1), ("2024", "12", 2), ("2024", "14", 1)
+    ]
+    assert [r[1:3] for r in rows(ads.last_minutes(tables.trend.read(), 121))] == [
+        ("12", "00"), ("14", "00")
+    ]
+    assert [r[1:3] for r in rows(ads.last_minutes(tables.trend.read()))] == [("14", "00")]
+
+
+def test_batches_of_many_days(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ad_stream, "MOST_DAYS", 2)
+    tables = ad_stream.AdTables.at(spark, str(tmp_path))
+    batch = [click(f"2024-01-0{day} 10:00:00", user=2) for day in range(1, 6)] * 3
+    for batch_id in range(2):
+        ad_stream.process_batch(lines(spark, *batch), batch_id, tables, limit=5)
+    assert [r[3] for r in rows(tables.user_clicks.read())] == [6] * 5
+    assert rows(tables.blacklist.read()) == [(2,)]
 
 
 @pytest.mark.parametrize("parts", [1, 2, 5])
