@@ -94,14 +94,34 @@ _ROWS = ("block long, kind int, bucket int, doc_ids array<long>, sizes binary, d
          "home long")
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Small numbers as bytes of equal weight, which compress better side by side."""
-    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _from_planes(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+_COMMON = 128  # numbers below this take one byte
+
+
+def _short(values: np.ndarray) -> bytes:
+    """Numbers of which most are small, as bytes: one for each, which for the larger ones says
+    where they lie, and the rest of those side by side."""
+    large = values[values >= _COMMON].astype(np.uint32) - _COMMON
+    shift = 8
+    while len(large) and int(large.max()) >> shift >= 256 - _COMMON:
+        shift += 1
+    first = values.astype(np.uint32)
+    first[values >= _COMMON] = _COMMON + (large >> shift)
+    rest = large & ((1 << shift) - 1)
+    head = np.array([len(values), shift], "<u4")
+    return b"".join((head.tobytes(), first.astype(np.uint8).tobytes(),
+                     (rest & 255).astype(np.uint8).tobytes(),
+                     (rest >> 8).astype("<u2" if shift > 16 else np.uint8).tobytes()))
+
+
+def _from_short(raw: bytes) -> np.ndarray:
+    n, shift = np.frombuffer(raw, "<u4", 2).tolist()
+    out = np.frombuffer(raw, np.uint8, n, 8).astype(np.uint32)
+    large = out >= _COMMON
+    m = int(large.sum())
+    low = np.frombuffer(raw, np.uint8, m, 8 + n).astype(np.uint32)
+    high = np.frombuffer(raw, "<u2" if shift > 16 else np.uint8, m, 8 + n + m).astype(np.uint32)
+    out[large] = ((out[large] - _COMMON) << shift) + low + (high << 8) + _COMMON
+    return out
 
 
 def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -129,13 +149,13 @@ def _blocks(docs: DataFrame, path: str, buckets: int) -> DataFrame:
             place[often] = np.arange(len(words), dtype=np.uint32)
             for ids, counts, positions in held:
                 yield _row_batch([(block, _POSITIONS, 0, ids, counts.tobytes(),
-                                   pack(_planes(place[positions])), home)])
+                                   pack(_short(place[positions])), home)])
             words = [words[i] for i in often]
             bucket = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) % buckets for w in words),
                                  np.uint32, len(words))
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = [(block, _ORDER, 0, None, None, pack(_planes(bucket)), home)]
+            rows = [(block, _ORDER, 0, None, None, pack(bucket.tobytes()), home)]
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 own = " ".join(words[i] for i in order[cuts[b]:cuts[b + 1]])
                 rows.append((block, _WORDS, b, None, None, pack(own.encode()), home))
@@ -208,7 +228,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in T.rows(batches, 16):
             for row in batch.to_pylist():
                 if row["kind"] == _ORDER:
-                    bucket = _from_planes(unpack(row["data"]))
+                    bucket = np.frombuffer(unpack(row["data"]), np.uint32)
                     id_bytes, id_text = [b""] * len(bucket), [b""] * len(bucket)
                     continue
                 if row["kind"] == _WORDS:
@@ -222,7 +242,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
                         id_text[place] = b"".join(t + b" " for t in texts[at:end])
                         at = end
                     continue
-                positions = _from_planes(unpack(row["data"]))
+                positions = _from_short(unpack(row["data"]))
                 all_ids, decoded, at = [], [], 0
                 for count in np.frombuffer(row["sizes"], np.uint32).tolist():
                     own = positions[at:at + count].tolist()
