@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from footfall.llm import queries, spotsigs
+from tests.llm.conftest import SMALL
+
+
+def _by_hand(text):
+    """Chains by walking over the words."""
+    words = spotsigs._WORD.findall(text.lower())
+    chains = set()
+    for i, word in enumerate(words):
+        after = [w for w in words[i + 1:] if w not in spotsigs.ANCHORS][:spotsigs.CHAIN]
+        if word in spotsigs.ANCHORS and len(after) == spotsigs.CHAIN:
+            chains.add((word, *after))
+    return chains or set(words)
+
+
+def _set(printed):
+    return {printed[i:i + 8] for i in range(0, len(printed), 8)}
+
+
+def test_chains(documents):
+    signatures = spotsigs.Signatures()
+    for row in documents.limit(60).collect():
+        assert len(signatures.of(row.text)) == len(_by_hand(row.text))
+
+
+@pytest.mark.parametrize("parts", ["1", "2", "5"])
+def test_edited_fingerprints(spark, documents, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r.doc_id: r for r in queries.op3_spotsigs(spark, SMALL).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    rows = sorted((r.doc_id, r.text or "") for r in documents.collect())
+    prints = {r.doc_id: r.fingerprint for r in spotsigs.fingerprints(documents).collect()}
+    assert len(got) == len(rows)
+    for (doc_id, text), (next_id, after) in zip(rows, [*rows[1:], rows[0]], strict=True):
+        row, n = got[doc_id], len(text) // 4
+        edited = text[:len(text) - n] + after[:n]
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert row.fingerprint == prints[doc_id]
+        a, b, c = (_set(p) for p in (prints[doc_id], row.edited_fingerprint, prints[next_id]))
+        assert row.near_edited == (len(a & b) / len(a | b) if a | b else 1)
+        assert row.near_next == (len(a & c) / len(a | c) if a | c else 1)
+
+
+def test_likeness_tells_edits_from_other_texts(spark):
+    rows = [r for r in queries.op3_spotsigs(spark, SMALL).collect() if r.n_chars > 200]
+    assert np.mean([r.near_edited for r in rows]) > 0.5
+    assert np.mean([r.near_next for r in rows]) < 0.1
+
+
+def test_odd_documents(odd):
+    rows = spotsigs.edited_fingerprints(odd).collect()
+    assert len(rows) == 11
+    assert {r.fingerprint for r in rows if r.n_chars == 0} == {""}
+    # Equal texts, equal fingerprints.
+    assert len({r.fingerprint for r in rows if r.doc_id == 5}) == 1
+    assert spotsigs.edited_fingerprints(odd.limit(0)).count() == 0
+
+
+def test_single_document_follows_itself(docs):
+    row = spotsigs.edited_fingerprints(docs((1, "abcd the efgh ijkl"))).first()
+    text = "abcd the efgh ijkl"
+    assert row.edited_sha256 == hashlib.sha256((text[:-4] + text[:4]).encode()).hexdigest()
+    assert row.near_next == 1
+
+
+def test_pruned_jaccard():
+    a, b = np.array([1, 2, 3, 4], np.uint32), np.array([1, 2, 3], np.uint32)
+    assert spotsigs.jaccard(a, b) == 0.75 == spotsigs.jaccard(b, a, 0.75)
+    assert spotsigs.jaccard(a, b, 0.76) == 0 == spotsigs.jaccard(a, b[:0])
+    assert spotsigs.jaccard(b[:0], b[:0], 0.9) == 1
