@@ -108,15 +108,17 @@ def _term(word: str) -> int | None:
 
 
 def _neighbours(docs: DataFrame) -> DataFrame:
-    """entity, kind, term, surroundings: what stands near the entities of each text."""
+    """entity, kind, term, surroundings: what stands near the entities of each text.
+
+    One more row for each entity of a text, without a term, counts its documents.
+    """
     schema = "entity long, kind int, term long, surroundings long"
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.rows(batches):
             out = set()
             for n, text in enumerate(batch.column(1).to_pylist()):
-                spans = base_spans(text)
-                for kind, start, end in spans:
+                for kind, start, end in base_spans(text):
                     # The nearest words; a run of letters without end is no word near by.
                     before = _WORD.findall(text[max(0, start - 40 * WINDOW):start])[-WINDOW:]
                     after = _WORD.findall(text[end:end + 40 * WINDOW])[:WINDOW]
@@ -124,7 +126,8 @@ def _neighbours(docs: DataFrame) -> DataFrame:
                     entity = _long(_entity(kind, text[start:end]))
                     out.update((n, entity, KINDS.index(kind), term, around)
                                for term in map(_term, {*before, *after}) if term is not None)
-            columns = list(zip(*(r[1:] for r in sorted(out)), strict=True)) or [()] * 4
+                    out.add((n, entity, KINDS.index(kind), None, None))
+            columns = list(zip(*(r[1:] for r in out), strict=True)) or [()] * 4
             yield pa.record_batch(
                 [pa.array(c, pa.int32() if i == 1 else pa.int64())
                  for i, c in enumerate(columns)],
@@ -133,21 +136,6 @@ def _neighbours(docs: DataFrame) -> DataFrame:
     return T.texts(docs).mapInArrow(found, schema)
 
 
-def _entities(docs: DataFrame) -> DataFrame:
-    """entity, documents: in how many documents each entity stands."""
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.rows(batches):
-            n = Counter()
-            for text in batch.column(1).to_pylist():
-                n.update({_long(_entity(k, text[a:b])) for k, a, b in base_spans(text)})
-            yield pa.record_batch([pa.array(n.keys(), pa.int64()),
-                                   pa.array(n.values(), pa.int64())], names=["entity", "n"])
-
-    return (T.texts(docs).mapInArrow(found, "entity long, n long")
-            .groupBy("entity").agg(F.sum("n").alias("documents")))
-
-
 def _filter(terms: DataFrame) -> np.ndarray | None:
     """A bit for each term's hash, FILTER_BITS in all; None if there is no term."""
     at = F.pmod("term", F.lit(FILTER_BITS))
@@ -204,8 +192,11 @@ def disclosing_terms(docs: DataFrame, support: int = SUPPORT,
     Counts cover all documents; ``support`` counts different surroundings, so that copies of one
     passage are no evidence. A term with several entities has the one it discloses most.
     """
+    found = T.written(_neighbours(docs), "pii-found")
+    entities = (found.where("term IS NULL").groupBy("entity")
+                .agg(F.count("*").alias("documents")))
     near = T.written(
-        _neighbours(docs).groupBy("entity", "kind", "term")
+        found.where("term IS NOT NULL").groupBy("entity", "kind", "term")
         .agg(F.count("*").alias("together"),
              F.count_distinct("surroundings").alias("places"))
         .where(F.col("places") >= support), "pii-near")
@@ -213,7 +204,7 @@ def disclosing_terms(docs: DataFrame, support: int = SUPPORT,
     if bits is None:
         return docs.sparkSession.createDataFrame([], "term long, kind int, disclosure double")
     total = max(2, docs.count())
-    known = (near.join(_entities(docs), "entity")
+    known = (near.join(entities, "entity")
              .join(_documents(docs, bits).withColumnRenamed("documents", "with_term"), "term"))
     # together <= documents <= total, so the content is positive unless e is everywhere.
     content = -F.log2(F.col("documents") / (total + 1))
