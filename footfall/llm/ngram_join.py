@@ -29,6 +29,7 @@ from footfall.llm import text as T
 from footfall.llm.components import components as connected
 
 FILTER_BITS = 1 << 24
+PARTS = 16  # that the documents of one class are dealt into
 BLOCK = 256  # members of a bucket that meet in one group
 _LOWEST = 9
 
@@ -341,10 +342,17 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """
     sets, roots = links(docs, words, percent)
     whole = sets.select("doc_id", "key", "key2", "n")
-    classes = (whole.where("n > 0").groupBy("key", "key2").agg(F.min("doc_id").alias("id"))
+    # Only classes with copies or links say more than a document does by itself. They are copied
+    # for each part that the documents of a class are dealt into.
+    classes = (whole.where("n > 0").groupBy("key", "key2")
+               .agg(F.min("doc_id").alias("id"), F.count("doc_id").alias("copies"))
                .join(roots.withColumnRenamed("node", "id"), "id", "left")
-               .select("key", "key2", F.coalesce("root", "id").alias("component_id")))
-    return (whole.join(classes, ["key", "key2"], "left")
+               .where("copies > 1 OR root IS NOT NULL")
+               .select("key", "key2", F.coalesce("root", "id").alias("component_id"),
+                       F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")))
+    dealt = whole.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+    return (dealt.join(classes, ["key", "key2", "part"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
+                    F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(),
+                           F.coalesce("component_id", "doc_id"))
                     .otherwise(F.col("doc_id")).alias("component_id")))
