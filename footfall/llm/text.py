@@ -91,13 +91,17 @@ def shared_folder(spark: SparkSession) -> str:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once, as a table in the shared folder; this also cuts its lineage."""
+    """``df`` computed once, as a table in the shared folder; this also cuts its lineage.
+
+    The table goes when the session's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
