@@ -2,7 +2,8 @@
 
 For each language of the training rows a raw-content zstandard dictionary is made from a bounded
 sample of its texts. A text is compressed with every dictionary; the smallest result names the
-language. The choice is rejected where the runner-up is hardly larger.
+language. The choice is rejected where the runner-up is hardly larger. Only letters count, in
+lower case: marks, digits and capitals say little about a language and much about layout.
 """
 
 from __future__ import annotations
@@ -19,20 +20,26 @@ from pyspark.sql import functions as F
 from footfall.llm import text as T
 
 # Bounds of the training sample: texts and bytes of each language's dictionary.
-SAMPLE_TEXTS = 64
+SAMPLE_TEXTS = 256
 DICTIONARY_BYTES = 112 * 1024
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHERS = re.compile(r"[\W\d_]+")
 SCHEMA = "doc_id long, lang_pred string, score double, margin double, rejected boolean"
 
 
+def letters(text: str) -> str:
+    """The text's runs of letters in lower case, with a blank between."""
+    return _OTHERS.sub(" ", text).lower()
+
+
 def dictionaries(docs: DataFrame, training, sample_texts: int = SAMPLE_TEXTS,
                  size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Raw content for each language among the rows where the Column ``training`` holds.
 
     Up to ``sample_texts`` texts of a language are taken by the smallest hash of their id (ties:
     of their text) and share its ``size`` bytes evenly. Rows without language or text are left
-    out.
+    out. The languages with the most training rows come first, and so win ties.
     """
     chosen = Window.partitionBy("lang").orderBy("rank", "doc_id")
     known = docs.where(F.coalesce(training, F.lit(False)) & F.col("lang").isNotNull()
@@ -50,11 +57,13 @@ def dictionaries(docs: DataFrame, training, sample_texts: int = SAMPLE_TEXTS,
                 .orderBy("lang", F.xxhash64("doc_id"), "doc_id").collect())
         for row in rows:
             found.setdefault(row.lang, []).append(row.text)
+    often = (docs.where(F.coalesce(training, F.lit(False)) & F.col("lang").isNotNull())
+             .groupBy("lang").count().orderBy(F.desc("count"), "lang").collect())
     contents = {}
-    for lang, some in found.items():
+    for lang, some in ((r.lang, found[r.lang]) for r in often if r.lang in found):
         parts, left = [], size
         for n, text in enumerate(sorted(some, key=len)):
-            part = text.encode()[:left // (len(some) - n)]
+            part = letters(text).encode()[:left // (len(some) - n)]
             parts.append(part)
             left -= len(part)
         contents[lang] = b" ".join(parts)
@@ -63,21 +72,23 @@ def dictionaries(docs: DataFrame, training, sample_texts: int = SAMPLE_TEXTS,
 
 class _Languages:
     def __init__(self, contents: Mapping[str, bytes], level: int) -> None:
-        self.names = sorted(contents)
+        self.names = list(contents)
         self.compressors = []
         for name in self.names:
             content = zstandard.ZstdCompressionDict(contents[name],
                                                     dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=level)
+            # Matches of four bytes on: short words and parts of words count.
+            how = zstandard.ZstdCompressionParameters.from_level(
+                level, dict_size=len(contents[name]), min_match=4)
             self.compressors.append(zstandard.ZstdCompressor(
-                dict_data=content, write_content_size=False))
+                dict_data=content, compression_params=how))
 
     def of(self, text: str | None, margin: float) -> tuple[str, float, float, bool]:
         if text is None or not self.names or not _LETTER.search(text):
             return UNKNOWN, 0.0, 0.0, True
-        raw = text.encode()
+        raw = letters(text).encode()
         sizes = np.array([len(c.compress(raw)) for c in self.compressors], float)
-        best = int(sizes.argmin())  # ties: the first name in alphabetical order
+        best = int(sizes.argmin())  # ties: the first name
         rest = np.delete(sizes, best)
         lead = float((rest.min() - sizes[best]) / rest.min()) if len(rest) else 1.0
         # Bits per byte saved against the others, as a share.
@@ -85,7 +96,7 @@ class _Languages:
         return self.names[best], float(1 / weights.sum()), lead, lead < margin
 
 
-def identify(docs: DataFrame, contents: Mapping[str, bytes], level: int = 3,
+def identify(docs: DataFrame, contents: Mapping[str, bytes], level: int = 6,
              margin: float = 0.01) -> DataFrame:
     """doc_id, the language of every text, its score, its lead and whether it is rejected.
 

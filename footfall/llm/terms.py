@@ -139,8 +139,13 @@ class FactorizationMachine:
         return self.w0 + linear + 0.5 * ((sums ** 2).sum(axis=1) - squares), sums
 
     def fit(self, rows: Rows, y: np.ndarray, weight: np.ndarray, epochs: int = 20,
-            batch: int = 128, rate: float = 0.1, decay: float = 1e-4) -> FactorizationMachine:
-        """Minimises the weighted logistic loss by Adagrad over batches in a fixed random order."""
+            batch: int = 128, rate: float = 0.1, decay: float = 1e-4,
+            dropped: float = 0.0) -> FactorizationMachine:
+        """Minimises the weighted logistic loss by Adagrad over batches in a fixed random order.
+
+        ``dropped``: share of a row's terms left out at random each time it is seen, so that no
+        term is learned only in the company of others.
+        """
         rng = np.random.default_rng(0)
         weight = weight / weight.mean()
         share = min(max(float((weight * y).sum() / weight.sum()), 1e-3), 1 - 1e-3)
@@ -151,6 +156,9 @@ class FactorizationMachine:
             for first in range(0, len(y), batch):
                 part = order[first:first + batch]
                 at, owner = rows.part(part)
+                if dropped:
+                    kept = rng.random(len(at)) >= dropped
+                    at, owner = at[kept], owner[kept]
                 logits, sums = self.logits(at, owner, len(part))
                 error = weight[part] * (sigmoid(logits) - y[part]) / len(part)
                 own = error[owner]

@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from footfall.llm import terms as M
 from footfall.llm import text as T
 
-# Bounds of the fit: labelled rows of each class, and chosen terms.
+# Bounds of the fit: labelled rows of each class, and chosen terms. Further terms only tell the
+# training rows apart.
 SAMPLE_ROWS = 4000
-TERMS = 4096
+TERMS = 512
+# Share of a row's terms left out at random in training, so that one insult alone counts.
+DROPPED = 0.2
 SCHEMA = "doc_id long, score double, predicted int"
 _WORD = re.compile(r"\w+")
 
@@ -75,7 +78,7 @@ def fit(docs: DataFrame, labels: DataFrame, training=None, sample_rows: int = SA
     machine = M.FactorizationMachine(len(chosen))
     if 0 < y.sum() < len(y):
         sparse = M.Rows([np.array(r, np.int64) for r in rows.column("terms").to_pylist()])
-        machine.fit(sparse, y, rows.column("weight").to_numpy())
+        machine.fit(sparse, y, rows.column("weight").to_numpy(), dropped=DROPPED)
     else:
         machine.w0 = 35.0 if len(y) and y.all() else -35.0
     return Model(chosen, machine)
