@@ -84,7 +84,8 @@ class _Languages:
                 dict_data=content, compression_params=how))
 
     def of(self, text: str | None, margin: float) -> tuple[str, float, float, bool]:
-        if text is None or not self.names or not _LETTER.search(text):
+        if text is None or not self.names or not any(
+                m.group().isalpha() for m in _LETTER.finditer(text)):
             return UNKNOWN, 0.0, 0.0, True
         raw = letters(text).encode()
         sizes = np.array([len(c.compress(raw)) for c in self.compressors], float)

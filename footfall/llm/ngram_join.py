@@ -293,17 +293,16 @@ def _apart(buckets: DataFrame, roots: DataFrame, info: DataFrame, scheme: Scheme
     return (rows.groupBy("signature", "i", "j").applyInArrow(meet, "a long, b long").distinct())
 
 
-def links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
     """Sets of all documents, and components of their classes: (sets, roots).
 
     ``sets``: doc_id, key, key2, n, signatures, sketch; equal keys are one class, whose id is the
     smallest doc_id. ``roots``: node, root for the classes that are linked with another.
     """
-    scheme = Scheme(words, percent)
     sets = T.written(_sets(docs, scheme), "ngram-sets-of-all")
     whole = sets.where("n > 0 AND doc_id IS NOT NULL")
-    classes = whole.groupBy("key", "key2").agg(F.min("doc_id").alias("id")).select("id")
-    reps = (whole.withColumnRenamed("doc_id", "id").join(classes, "id", "left_semi")
+    firsts = whole.groupBy("key", "key2").agg(F.min("doc_id").alias("id")).select("id")
+    reps = (whole.withColumnRenamed("doc_id", "id").join(firsts, "id", "left_semi")
             .select("id", "n", "signatures", "sketch"))
     buckets = _buckets(sets.where("doc_id IS NOT NULL"), reps)
     info = T.written(reps.select("id", "n", "sketch")
@@ -340,18 +339,23 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     so is a row without id (component null). Ids should be unique; rows that repeat one with the
     same text are returned once each. Extra columns are ignored; an empty table gives no rows.
     """
-    sets, roots = links(docs, words, percent)
+    return classes(docs, Scheme(words, percent))
+
+
+def classes(docs: DataFrame, scheme: Scheme) -> DataFrame:
+    """The components of the sets that a scheme makes of texts."""
+    sets, roots = links(docs, scheme)
     whole = sets.select("doc_id", "key", "key2", "n")
     # Only classes with copies or links say more than a document does by itself. They are copied
     # for each part that the documents of a class are dealt into.
-    classes = (whole.where("n > 0").groupBy("key", "key2")
-               .agg(F.min("doc_id").alias("id"), F.count("doc_id").alias("copies"))
-               .join(roots.withColumnRenamed("node", "id"), "id", "left")
-               .where("copies > 1 OR root IS NOT NULL")
-               .select("key", "key2", F.coalesce("root", "id").alias("component_id"),
-                       F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")))
+    known = (whole.where("n > 0").groupBy("key", "key2")
+             .agg(F.min("doc_id").alias("id"), F.count("doc_id").alias("copies"))
+             .join(roots.withColumnRenamed("node", "id"), "id", "left")
+             .where("copies > 1 OR root IS NOT NULL")
+             .select("key", "key2", F.coalesce("root", "id").alias("component_id"),
+                     F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")))
     dealt = whole.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
-    return (dealt.join(classes, ["key", "key2", "part"], "left")
+    return (dealt.join(known, ["key", "key2", "part"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(),
                            F.coalesce("component_id", "doc_id"))

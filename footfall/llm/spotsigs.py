@@ -3,7 +3,9 @@
 Wherever an anchor (a common word) occurs, it and the next ``CHAIN`` content words (words that
 are no anchors) make one signature. A document's fingerprint is the set of its signatures, so it
 follows the running text and hardly sees lists, menus and other parts without common words.
-Two fingerprints are compared by Jaccard similarity, pruned by set length.
+Two fingerprints are compared by Jaccard similarity, pruned by set length. To find near copies
+among all documents, the sets are partitioned by length such that similar ones lie in the same or
+neighbouring partitions, and only sets of one partition that share a signature are compared.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm import ngram_join
 from footfall.llm import text as T
 
 # Common words of English, German, French and Spanish.
@@ -173,3 +176,37 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
             yield flushed()
 
     return followed(docs).mapInArrow(made, EDITED)
+
+
+class _Lengths(ngram_join.Scheme):
+    """Partitions by set length; within one, similar sets share one of their first signatures."""
+
+    def __init__(self, percent: int) -> None:
+        super().__init__(CHAIN, percent)
+
+    def shingles(self, text: str, hashes: T.WordHashes) -> np.ndarray:
+        made = self.__dict__.setdefault("made", Signatures())
+        return made.of(text).astype(np.uint64)
+
+    def signatures(self, shingles: np.ndarray) -> np.ndarray:
+        """The first n - ceil(share * n) + 1 signatures, for its own and the next partition.
+
+        Similar sets have at least the share of either in common, so these first ones meet. The
+        order is that of the hashes with their digits mixed, the same for all sets.
+        """
+        n = len(shingles)
+        if not n:
+            return shingles
+        first = np.sort(T.mix(shingles))[:n + 1 + (-self.percent * n // 100)]
+        own = int(np.log(n) / np.log(100 / self.percent) + 1e-9) if self.percent < 100 else n
+        return np.concatenate([T.mix(first ^ np.uint64(length << 40)) for length in (own, own + 1)])
+
+
+def near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles (signatures), component_id: the smallest doc_id reachable by links.
+
+    Documents link if the Jaccard similarity of their fingerprints is at least ``percent`` %.
+    A null, empty or wordless text is alone. Ids should be unique; rows that repeat one with the
+    same text are returned once each; extra columns are ignored.
+    """
+    return ngram_join.classes(docs, _Lengths(percent))

@@ -7,6 +7,7 @@ import pytest
 
 from footfall.llm import queries, spotsigs
 from tests.llm.conftest import SMALL
+from tests.llm.test_ngram_join import _family
 
 
 def _by_hand(text):
@@ -79,3 +80,25 @@ def test_pruned_jaccard():
     assert spotsigs.jaccard(a, b) == 0.75 == spotsigs.jaccard(b, a, 0.75)
     assert spotsigs.jaccard(a, b, 0.76) == 0 == spotsigs.jaccard(a, b[:0])
     assert spotsigs.jaccard(b[:0], b[:0], 0.9) == 1
+
+
+@pytest.mark.parametrize("percent", [60, 80])
+def test_near_copies(docs, percent):
+    rows = [(i, " ".join(w if k % 3 else f"the {w}" for k, w in enumerate(text.split())))
+            for i, text in _family(11)]
+    sets = {i: set(spotsigs.Signatures().of(t).tolist()) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    got = sorted(map(tuple, spotsigs.near_copies(docs(*rows), percent).collect()))
+    assert got == sorted((i, len(sets[i]), find(i)) for i in sets)
+    assert len({c for _, _, c in got}) < len(rows)
