@@ -37,6 +37,16 @@ SCHEMA = "doc_id long, template string, start long, end long, shared long, conta
 _WORD = re.compile(r"\w+(?:[-.]\w+)*")
 
 
+class _Folded(T.WordHashes):
+    """Hashes of words in lower case."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        value = self[word] = T.xxhash.xxh3_64_intdigest(word.lower().encode())
+        return value
+
+
 class _Templates:
     """Shingles and band keys of the templates, by their word count."""
 
@@ -44,11 +54,11 @@ class _Templates:
         rng = np.random.default_rng(1)
         self.seeds = rng.integers(1, 2**63, bands * rows, np.uint64) | np.uint64(1)
         self.bands, self.rows = bands, rows
-        self.hashes = T.WordHashes()
+        self.hashes = _Folded()
         self.by_length: dict[int, list[tuple[str, np.ndarray]]] = {}
         self.keys: dict[int, dict[tuple[int, int], list[int]]] = {}
         for name, notice in sorted(templates.items()):
-            words = self.hashes.of([m.group().lower() for m in _WORD.finditer(notice)])
+            words = self.hashes.of(_WORD.findall(notice))
             if len(words):
                 self.by_length.setdefault(len(words), []).append(
                     (name, np.unique(self.shingles(words))))
@@ -57,6 +67,8 @@ class _Templates:
             for i, (_, shingles) in enumerate(group):
                 for band, key in enumerate(self.bands_of(self.ranks(shingles)[:, None, :])[0]):
                     keys.setdefault((band, int(key)), []).append(i)
+        every = [shingles for group in self.by_length.values() for _, shingles in group]
+        self.every = np.unique(np.concatenate(every)) if every else np.empty(0, np.uint64)
         self.flat = {length: [np.array(sorted(k for b, k in keys if b == band), np.uint64)
                               for band in range(bands)] for length, keys in self.keys.items()}
 
@@ -74,11 +86,14 @@ class _Templates:
         return T.chain_hashes([least[:, r] for r in range(self.rows)]).T
 
     def found(self, text: str, containment: float) -> Iterator[tuple]:
-        spans = list(_WORD.finditer(text))
-        words = self.hashes.of([m.group().lower() for m in spans])
+        words = self.hashes.of(_WORD.findall(text))
         if not len(words):
             return
         shingles = self.shingles(words)
+        # A window without any shingle of a template agrees with none in any row.
+        if not np.isin(shingles, self.every).any():
+            return
+        spans = list(_WORD.finditer(text))
         for length, group in self.by_length.items():
             width = max(1, length - 1)
             # Only windows near some shingle of a template of this length can contain enough.
