@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import re
 
-from footfall.llm import license_scan, queries
+from footfall.llm import licences, license_scan, queries
 from tests.llm.conftest import SMALL
 
 
@@ -44,3 +44,32 @@ def test_odd_documents(odd, docs):
     assert license_scan.scan(odd.limit(0)).count() == 0
     twice = {"a": notice, "b": notice}
     assert {r.template for r in license_scan.scan(docs((1, notice)), twice).collect()} == {"a", "b"}
+
+
+def _templates(docs, text):
+    return {r.template for r in license_scan.scan(docs((1, text))).collect()}
+
+
+def test_short_notices_with_one_changed_word(docs):
+    assert _templates(docs, "Code: Licensed under the MIT License.") == {"mit"}
+    assert _templates(docs, "Licensed under the CC BY 4.0, as is") == {"cc-by-4.0"}
+    assert _templates(docs, "Released under CC BY-NC 4.0") == {"cc-by-nc-4.0"}
+    assert _templates(docs, "Licensed under the Apache Licence 2.0") == {"apache-2.0"}
+    # The words that name a licence must all be there, and no more than one other may differ.
+    assert _templates(docs, "Licensed under the Apache License, Version 1.1") == set()
+    assert _templates(docs, "The MIT License was written at a university") == set()
+
+
+def test_headers_and_whole_texts(docs):
+    wordings = licences.wordings()
+    for name in ("mit-text", "isc-text", "apache-2.0-header", "gpl-3.0-header", "lgpl-2.1-header",
+                 "agpl-3.0-header", "bsd-2-clause-text", "cc0-1.0-text", "gpl-2.0-text"):
+        want = {n for n, _ in license_scan.parts(name, license_scan._WORD.findall(wordings[name]))}
+        assert want <= _templates(docs, f"Some words before. {wordings[name]} And after."), name
+    assert "mit-identifier" in _templates(docs, "# SPDX-License-Identifier: MIT\nimport os")
+
+
+def test_parts_cover_a_long_template():
+    words = [str(i) for i in range(100)]
+    cut = [w for _, w in license_scan.parts("t", words)]
+    assert all(len(w) == license_scan.PART for w in cut) and set(sum(cut, [])) == set(words)
