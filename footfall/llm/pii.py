@@ -1,11 +1,12 @@
 """Personal data: patterns, and terms that give a protected entity away.
 
 Emails, IP addresses, card and phone numbers are found by pattern. Each distinct value is a
-protected entity e with information content IC(e) = -log2 p(e). For the words t that stand near
-entities, the corpus tells how far t discloses e: PMI(e; t) / IC(e), which is 1 where every
-document with t has e next to it, and 0 where t says nothing about e. A term that passes the
-threshold for some entity is generalised to the entity's kind, or removed if it all but names the
-entity, wherever it occurs.
+protected entity e with information content IC(e) = -log2 p(e). For the words t, numbers too, of
+the documents that hold an entity, the corpus tells how far t discloses e: PMI(e; t) / IC(e), which
+is 1 where every document with t has e in it, and 0 where t says nothing about e. A term that passes
+the threshold for some entity is generalised to the entity's kind, or removed if it all but names
+the entity, wherever it occurs. Evidence is SUPPORT different surroundings of the entity, with t
+among them or elsewhere in documents that differ there.
 
 Words are looked up in a filter of fixed size (no false negatives) while texts are read; what it
 lets through is joined with the exact table, whose size is not bounded.
@@ -14,6 +15,7 @@ lets through is joined with the exact table, whose size is not bounded.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +28,7 @@ from footfall.llm import text as T
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 6  # words on either side of an entity
-SUPPORT = 3  # different surroundings in which a term must stand by an entity
+SUPPORT = 3  # different surroundings of an entity that a term must go with
 DISCLOSED = 0.9  # share of the entity's information that a term may give away
 REMOVED = 0.99  # from here on the term goes altogether
 FILTER_BITS = 1 << 23
@@ -102,38 +104,92 @@ def _long(value: str) -> int:
     return T.xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
 
 
-def _term(word: str) -> int | None:
-    """The hash of a word that can be a term: not a number, not just a letter or two."""
-    return None if len(word) < 3 or word.isdigit() else _long(word.lower())
+def _term(word: str) -> int:
+    """The hash of a word, a number or a letter; which ones are terms is left to the counts."""
+    return _long(word.lower())
 
 
-def _neighbours(docs: DataFrame) -> DataFrame:
-    """entity, kind, term, surroundings: what stands near the entities of each text.
+def _keyed(docs: DataFrame) -> DataFrame:
+    return T.texts(docs).withColumn("key", F.xxhash64("text"))
 
-    One more row for each entity of a text, without a term, counts its documents.
+
+def _surroundings(text: str) -> dict[int, tuple[int, list[tuple[int, int]], dict[int, set[int]]]]:
+    """For each entity of a text: its kind, its places, and the terms of each surrounding."""
+    out: dict = {}
+    for kind, start, end in base_spans(text):
+        # The nearest words; a run of letters without end is no word near by.
+        before = _WORD.findall(text[max(0, start - 40 * WINDOW):start])[-WINDOW:]
+        after = _WORD.findall(text[end:end + 40 * WINDOW])[:WINDOW]
+        around = _long(" ".join([*before, "\n", *after]))
+        entity = _long(_entity(kind, text[start:end]))
+        _, places, near = out.setdefault(entity, (KINDS.index(kind), [], {}))
+        places.append((start, end))
+        near.setdefault(around, set()).update(map(_term, {*before, *after}))
+    return out
+
+
+def _entities(docs: DataFrame) -> DataFrame:
+    """key, entity, around, first: the surroundings of the entities of each text.
+
+    ``key`` is the hash of the text; one surrounding of an entity in a text is its ``first``.
+    """
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in T.rows(batches):
+            out = [(key, entity, around, int(around == min(near)))
+                   for text, key in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(),
+                                        strict=True)
+                   for entity, (_, _, near) in _surroundings(text).items() for around in near]
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns],
+                                  names=["key", "entity", "around", "first"])
+
+    return _keyed(docs).mapInArrow(found, "key long, entity long, around long, first long")
+
+
+def _company(docs: DataFrame, keys: np.ndarray, asked: np.ndarray) -> DataFrame:
+    """entity, kind, term, around, near, whole: the terms that go with the entities asked for.
+
+    ``near``: the term stands in this surrounding of the entity; ``whole``, once for each text
+    with both: it stands anywhere in the text, with the entity's first surrounding. ``keys`` and
+    ``asked`` are filters of texts and entities.
     """
-    schema = "entity long, kind int, term long, surroundings long"
+    names = ["entity", "kind", "term", "around", "near", "whole"]
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [()] * 6
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.rows(batches):
-            out = set()
-            for n, text in enumerate(batch.column(1).to_pylist()):
-                for kind, start, end in base_spans(text):
-                    # The nearest words; a run of letters without end is no word near by.
-                    before = _WORD.findall(text[max(0, start - 40 * WINDOW):start])[-WINDOW:]
-                    after = _WORD.findall(text[end:end + 40 * WINDOW])[:WINDOW]
-                    around = _long(" ".join([*before, "\n", *after]))
-                    entity = _long(_entity(kind, text[start:end]))
-                    out.update((n, entity, KINDS.index(kind), term, around)
-                               for term in map(_term, {*before, *after}) if term is not None)
-                    out.add((n, entity, KINDS.index(kind), None, None))
-            columns = list(zip(*(r[1:] for r in out), strict=True)) or [()] * 4
-            yield pa.record_batch(
-                [pa.array(c, pa.int32() if i == 1 else pa.int64())
-                 for i, c in enumerate(columns)],
-                names=["entity", "kind", "term", "surroundings"])
-
-    return T.texts(docs).mapInArrow(found, schema)
+            batch = batch.filter(pa.array(_passes(keys, batch.column(2).to_numpy())))
+            out: list[tuple] = []
+            for text in batch.column(1).to_pylist():
+                words = None
+                for entity, (kind, places, near) in _surroundings(text).items():
+                    if not _passes(asked, np.array([entity]))[0]:
+                        continue
+                    words = words or [(m.start(), m.end(), _term(m.group()))
+                                      for m in _WORD.finditer(text)]
+                    starts, ends = zip(*places, strict=True)
+                    # A word of the entity itself is no term; matches of one kind share nothing.
+                    terms = {t for s, e, t in words
+                             if not (k := bisect_left(starts, e)) or ends[k - 1] <= s}
+                    terms.update(*near.values())
+                    out += [(entity, kind, t, min(near), 0, 1) for t in terms]
+                    out += [(entity, kind, t, around, 1, 0) for around in near
+                            for t in near[around]]
+                    if len(out) > 100_000:
+                        yield made(out)
+                        out = []
+            yield made(out)
+
+    return _keyed(docs).mapInArrow(found, ", ".join(f"{n} long" for n in names))
+
+
+def _passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values % FILTER_BITS
+    return ((bits[at // 64] >> (at % 64)) & 1).astype(bool)
 
 
 def _filter(terms: DataFrame) -> np.ndarray | None:
@@ -189,20 +245,31 @@ def disclosing_terms(docs: DataFrame, support: int = SUPPORT,
                      disclosed: float = DISCLOSED) -> DataFrame:
     """term (hash), kind, disclosure of the terms that give some entity away.
 
-    Counts cover all documents; ``support`` counts different surroundings, so that copies of one
-    passage are no evidence. A term with several entities has the one it discloses most.
+    Counts cover all documents; ``support`` counts different surroundings of the entity, so that
+    copies of one passage are no evidence: those that the term stands in, or one for each document
+    that holds the term anywhere. A term with several entities has the one it discloses most.
     """
-    found = T.written(_neighbours(docs), "pii-found")
-    entities = (found.where("term IS NULL").groupBy("entity")
-                .agg(F.count("*").alias("documents")))
+    found = T.written(_entities(docs), "pii-found")
+    entities = T.written(
+        found.groupBy("entity", "around").agg(F.sum("first").alias("documents"))
+        .groupBy("entity").agg(F.sum("documents").alias("documents"), F.count("*").alias("places"))
+        .where(F.col("places") >= support).select("entity", "documents"), "pii-entities")
+    none = docs.sparkSession.createDataFrame([], "term long, kind int, disclosure double")
+    asked = _filter(entities.select(F.col("entity").alias("term")))
+    if asked is None:
+        return none
+    keys = _filter(found.join(entities, "entity", "left_semi").select(F.col("key").alias("term")))
     near = T.written(
-        found.where("term IS NOT NULL").groupBy("entity", "kind", "term")
-        .agg(F.count("*").alias("together"),
-             F.count_distinct("surroundings").alias("places"))
+        _company(docs, keys, asked).groupBy("entity", "kind", "term", "around")
+        .agg(F.sum("whole").alias("together"), F.max("near").alias("near"),
+             F.max("whole").alias("whole"))
+        .groupBy("entity", F.col("kind").cast("int").alias("kind"), "term")
+        .agg(F.sum("together").alias("together"),
+             F.greatest(F.sum("near"), F.sum("whole")).alias("places"))
         .where(F.col("places") >= support), "pii-near")
     bits = _filter(near)
     if bits is None:
-        return docs.sparkSession.createDataFrame([], "term long, kind int, disclosure double")
+        return none
     total = max(2, docs.count())
     known = (near.join(entities, "entity")
              .join(_documents(docs, bits).withColumnRenamed("documents", "with_term"), "term"))

@@ -111,3 +111,27 @@ def test_overlapping_spans_are_masked_once():
     assert len(base) >= 2
     out = pii._result(text, base, [])[0]
     assert not re.search("[0-9]", out) and out.endswith(" x")
+
+
+def test_numbers_and_short_names_are_terms(docs):
+    rows = [(i, f"Meeting {i} at place {i % 7} on the matter {i + 500}") for i in range(60)]
+    rows += [(100 + i, f"order {i} of 4711 by Li w@x.org {'abcde'[i]}{i}") for i in range(5)]
+    rows += [(200, "Ask Li whether 4711 was paid")]
+    out = {r.doc_id: r for r in pii.sanitise(docs(*rows)).collect()}
+    assert "4711" not in out[200].text and "Li" not in out[200].text.split()
+    assert out[200].spans == "term:4:6,term:15:19"
+    assert all(out[i].spans == "" for i in range(60))
+
+
+def test_terms_far_from_the_entity(docs):
+    """A number at the other end of the documents that hold the address."""
+    rows = [(i, f"meeting {i} at place {i % 7}") for i in range(60)]
+    filler = [" ".join(f"{w}{i}" for w in "abcdefghij") for i in range(5)]
+    rows += [(100 + i, f"account 884422 {filler[i]} w@x.org {filler[i]}") for i in range(5)]
+    rows += [(200, "who pays 884422 now")]
+    out = {r.doc_id: r for r in pii.sanitise(docs(*rows)).collect()}
+    assert out[200].spans == "term:9:15"
+    # One document that repeats an address is no evidence about its other words.
+    once = [(1, f"account 884422 {filler[0]} w@x.org {' w@x.org '.join(filler)}")]
+    out = {r.doc_id: r.spans for r in pii.sanitise(docs(*once, *rows[:60])).collect()}
+    assert "term" not in out[1]
