@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,14 @@ def text_terms(text: str) -> set[str]:
     return out
 
 
+@lru_cache(1)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point: is it a letter, is it a capital."""
+    every = [chr(c) for c in range(0x110000)]
+    return tuple(np.fromiter(map(kind, every), bool, len(every))
+                 for kind in (str.isalpha, str.isupper))
+
+
 def metadata(text: str, lang: str | None, source: str | None) -> np.ndarray:
     """Sizes, layout, language and source of a page; all about 0 to 1."""
     raw = text.encode()
@@ -60,15 +69,15 @@ def metadata(text: str, lang: str | None, source: str | None) -> np.ndarray:
     n, packed = max(1, len(text)), len(zlib.compress(raw, 1))
     count = {k: sum(map(text.count, marks)) / n for k, marks in
              {"dot": ".", "comma": ",", "bar": "|", "other": "!#$%&*=<>{}[]\\/@^~"}.items()}
-    letters = sum(map(str.isalpha, text[:: max(1, n // 2000)]))
-    capitals = sum(map(str.isupper, text[:: max(1, n // 2000)]))
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    letters, capitals = (int(np.count_nonzero(kind[codes])) for kind in _letters())
     out = np.zeros(16 + 64)
     out[:13] = (
         1, min(1, np.log1p(n) / 12), min(1.5, packed / max(1, len(raw))),
         min(1, np.log1p(len(lines)) / 8), min(1, np.log1p(n / len(lines)) / 8),
         len(set(lines)) / len(lines), min(1, 20 * count["dot"]), min(1, 20 * count["comma"]),
         min(1, 20 * count["bar"]), min(1, 20 * count["other"]), capitals / max(1, letters),
-        letters / max(1, len(range(0, n, max(1, n // 2000)))), len(raw) / n / 4)
+        letters / n, len(raw) / n / 4)
     out[16 + zlib.crc32(b"l" + (lang or "").encode()) % 16] = 1
     out[32 + zlib.crc32(b"s" + (source or "").encode()) % 48] = 1
     return out

@@ -126,3 +126,9 @@ def test_samples_are_bounded(spark, labels):
     for y in (0, 1):
         own = [r for r in sample if r.y == y]
         assert sum(r.weight for r in own) == pytest.approx(sum(m == y for m in marks))
+
+
+def test_letters_of_the_whole_text():
+    """Lines of ten characters, the first a capital: every stride of ten meets capitals alone."""
+    assert quality.metadata("Aé中 1 - .\n" * 2000, "en", "s")[10:12].tolist() == [1 / 3, 0.3]
+    assert quality.metadata("", None, None)[10:12].tolist() == [0, 0]
