@@ -9,15 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
+    divergence,
     language_id,
     license_scan,
     ngram_join,
     packing,
     pii,
+    prefix_trie,
     quality,
     spotsigs,
+    sql,
     topk,
     toxicity,
+    vantage,
     word_tokens,
 )
 from footfall.llm.text import fold, table
@@ -84,6 +88,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vantage.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_license_scan, op3_spotsigs, op4_bpe, op5_toxicity, op6_pii,
-        op7_ngram_join, op8_topk, op9_language_id, op10_quality, pipeline)}
+        op7_ngram_join, op8_topk, op9_language_id, op10_quality, op11_source_divergence,
+        op12_vantage_points, op13_prefix_trie, pipeline)}
 
 
 # SQL for op8: a floor of 1024 times each component, the exact inner products, the ten highest.
@@ -151,4 +169,5 @@ FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN lowest ON lowest.x =
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries whose rows SQL can give; the others are held against brute force."""
-    return {"op7_ngram_join": _NGRAM_JOIN, "op8_topk": _TOP_K}
+    return {"op7_ngram_join": _NGRAM_JOIN, "op8_topk": _TOP_K,
+            "op11_source_divergence": sql.SOURCE_DIVERGENCE, "op13_prefix_trie": sql.PREFIX_TRIE}
