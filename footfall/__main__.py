@@ -78,6 +78,9 @@ def main(argv: list[str] | None = None) -> None:
     interval = None if args.once else args.interval
     if args.job == "ad-stream":
         result = ad_stream.AdTables.at(spark, args.tables)
+        if args.once:
+            ad_stream.run_ad_stream(lines, result, args.checkpoint)
+            return
         query = ad_stream.start_ad_stream(lines, result, args.checkpoint, interval)
     elif args.job == "ad-ingest":
         query = ad_stream.start_ad_ingest(lines, args.tables, args.checkpoint, interval)

@@ -490,33 +490,33 @@ def stream_ad_ingest(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out")
 
 
-def _run_ad_stream(spark, sf_dir) -> ad_stream.AdTables:
+def _run_ad_stream(spark, sf_dir, *totals: str) -> ad_stream.AdTables:
+    """The clicks query, and those of the totals that are asked for."""
     folder = run_dir(spark, "ad-stream")
     tables = ad_stream.AdTables.at(spark, f"{folder}/tables", compact_every=2)
-    ad_stream.start_ad_stream(
-        _ad_stream_lines(spark, sf_dir, folder), tables, f"{folder}/checkpoint", interval=None
-    ).awaitTermination()
+    lines = _ad_stream_lines(spark, sf_dir, folder)
+    ad_stream.run_ad_stream(lines, tables, f"{folder}/checkpoint", totals=totals)
     return tables
 
 
 @_query
 def stream_ad_province_city(spark, sf_dir):
-    return _run_ad_stream(spark, sf_dir).city_clicks.read()
+    return _run_ad_stream(spark, sf_dir, "places").city_clicks.read()
 
 
 @_query
 def stream_ad_trend(spark, sf_dir):
-    return _run_ad_stream(spark, sf_dir).trend.read()
+    return _run_ad_stream(spark, sf_dir, "minutes").trend.read()
 
 
 @_query
 def stream_ad_last_hour(spark, sf_dir):
-    return ads.last_minutes(_run_ad_stream(spark, sf_dir).trend.read())
+    return ads.last_minutes(_run_ad_stream(spark, sf_dir, "minutes").trend.read())
 
 
 @_query
 def stream_ad_province_top3(spark, sf_dir):
-    return _run_ad_stream(spark, sf_dir).province_top.read()
+    return _run_ad_stream(spark, sf_dir, "places").province_top.read()
 
 
 @_query

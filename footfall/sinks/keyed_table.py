@@ -8,7 +8,9 @@ its folder, so results do not depend on retries. Compaction folds the small fold
     <path>/base/version=<batch id>[/<partition>=…]
 
 Only bases are cut by partition value: a micro-batch is small and should not leave a file for each of
-its days. A folder counts once Spark's committer has put ``_SUCCESS`` into it. One query writes a table,
+its days. A table of point lookups is cut by a hash of its keys instead (``buckets``): a lookup opens the
+buckets of the keys asked for, and Parquet's statistics on the sorted keys and a Bloom filter on
+``bloom`` skip row groups inside. A folder counts once Spark's committer has put ``_SUCCESS`` into it. One query writes a table,
 and table and query checkpoint are kept or dropped together.
 """
 
@@ -17,11 +19,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.operators.upsert import VERSION, merge_versions
+from footfall.sinks.publish import file_system
+
+BUCKET = "bucket"
 
 
 @dataclass(frozen=True)
@@ -35,6 +40,12 @@ class KeyedTable:
     group: Sequence[str] = ()
     partition: str | None = None
     compact_every: int = 50
+    buckets: int = 0
+    bloom: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.buckets:
+            object.__setattr__(self, "partition", BUCKET)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch. ``rows`` holds each key at most once."""
@@ -52,6 +63,15 @@ class KeyedTable:
         bases = self._versions("base", upto)
         return self._merged(bases, self._deltas_after(bases, upto), partitions)
 
+    def lookup(self, requests: DataFrame, upto: int | None = None) -> DataFrame:
+        """The rows of the keys in ``requests``; of a bucketed table only their buckets are opened."""
+        keys = requests.select(*self.keys)
+        touched = None
+        if self.buckets and self._versions("base", upto):
+            found = keys.select(self._bucket().alias(BUCKET)).distinct().collect()
+            touched = [row[0] for row in found]
+        return self.read(upto, touched).join(keys, list(self.keys), "left_semi")
+
     def compact(self, batch_id: int) -> None:
         """Fold the deltas up to a batch into a base.
 
@@ -63,7 +83,7 @@ class KeyedTable:
         deltas = self._deltas_after(bases, batch_id)
         touched = None
         if self.partition:
-            # Days with new rows since the last compaction.
+            # Days or buckets with new rows since the last compaction.
             rows = self._load(deltas).select(self.partition).distinct().collect()
             touched = [row[0] for row in rows]
         self._save(self._merged(bases, deltas, touched), "base", batch_id)
@@ -74,7 +94,7 @@ class KeyedTable:
         self, bases: list[tuple[int, str]], deltas: list[str], partitions: Sequence[str] | None
     ) -> DataFrame:
         rows = self._load([*self._in_force(bases, partitions), *deltas])
-        if partitions is not None:
+        if partitions is not None and self.partition:
             rows = rows.filter(F.col(self.partition).isin(*partitions))
         return merge_versions(rows, self.mode, self.keys, self.values, self.group)
 
@@ -111,7 +131,7 @@ class KeyedTable:
 
     def _versions(self, kind: str, upto: int | None = None) -> list[tuple[int, str]]:
         """Committed folders, oldest first."""
-        fs, pattern = self._file_system(f"{self.path}/{kind}/{VERSION}=*/_SUCCESS")
+        fs, pattern = file_system(self.spark, f"{self.path}/{kind}/{VERSION}=*/_SUCCESS")
         names = [s.getPath().getParent().getName() for s in fs.globStatus(pattern) or []]
         found = [(int(name.split("=")[1]), f"{self.path}/{kind}/{name}") for name in names]
         return sorted(v for v in found if upto is None or v[0] <= upto)
@@ -119,17 +139,27 @@ class KeyedTable:
     def _partitions(self, folder: str) -> list[str]:
         return [n for n in self._list(folder) if n.startswith(f"{self.partition}=")]
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
     def _struct(self) -> T.StructType:
         return T.StructType.fromDDL(f"{self.schema}, {VERSION} BIGINT")
 
     def _save(self, rows: DataFrame, kind: str, batch_id: int) -> None:
         columns = [f.name for f in self._struct() if f.name != VERSION]
         cut_by = [self.partition] if self.partition and kind == "base" else []
+        rows = rows.select(*columns)
+        if self.buckets and cut_by:
+            rows = rows.withColumn(BUCKET, self._bucket())
         # Few files of even size; AQE splits a partition value that is large.
+        rows = rows.hint("rebalance", *cut_by)
+        if self.buckets and cut_by:
+            rows = rows.sortWithinPartitions(BUCKET, *self.keys)
+        writer = rows.write
+        if self.bloom and cut_by:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{self.bloom}", "true")
         (
-            rows.select(*columns)
-            .hint("rebalance", *cut_by)
-            .write.mode("overwrite")
+            writer.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(*cut_by)
             .parquet(f"{self.path}/{kind}/{VERSION}={batch_id}")
@@ -137,24 +167,28 @@ class KeyedTable:
 
     def _load(self, folders: list[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self._struct())
+            struct = self._struct()
+            return self.spark.createDataFrame(
+                [], struct.add(BUCKET, T.IntegerType()) if self.buckets else struct
+            )
         frames = []
         for kind in ("base", "delta"):
             paths = [f for f in folders if f.startswith(f"{self.path}/{kind}/")]
             if paths:
-                reader = self.spark.read.schema(self._struct())
-                frames.append(reader.option("basePath", f"{self.path}/{kind}").parquet(*paths))
+                struct = self._struct()
+                if self.buckets and kind == "base":
+                    struct = struct.add(BUCKET, T.IntegerType())
+                reader = self.spark.read.schema(struct)
+                frame = reader.option("basePath", f"{self.path}/{kind}").parquet(*paths)
+                if self.buckets and kind == "delta":
+                    frame = frame.withColumn(BUCKET, self._bucket())
+                frames.append(frame)
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
-    def _file_system(self, folder: str):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
     def _list(self, folder: str) -> list[str]:
-        fs, path = self._file_system(folder)
+        fs, path = file_system(self.spark, folder)
         return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
     def _delete(self, folder: str) -> None:
-        fs, path = self._file_system(folder)
+        fs, path = file_system(self.spark, folder)
         fs.delete(path, True)

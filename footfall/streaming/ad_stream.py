@@ -1,4 +1,11 @@
-"""The ad-click stream: blacklist, daily totals, province top lists, minute trend."""
+"""The ad-click stream: blacklist, daily totals, province top lists, minute trend.
+
+Three queries share the work. The clicks query drops what blacklisted users send, adds up clicks per
+user, day and ad, and hands the clicks it keeps on, counted per place and per minute; the blacklist
+feeds back between its micro-batches, so it looks the touched users' totals up. The places and minutes
+queries read what was handed on to them and keep running totals in Spark's state store; what they write
+are the totals that changed.
+"""
 
 from __future__ import annotations
 
@@ -10,10 +17,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators import ads
 from footfall.sinks.keyed_table import KeyedTable
+from footfall.sinks.publish import file_system, publish, run_together
+from footfall.streaming.state import by_kind, of_kind, running_totals, use_state_store
 
-# Days of one micro-batch that are read one by one; a batch with more reads whole tables.
-MOST_DAYS = 366
 MALFORMED = "source STRING, line_count BIGINT"
+PLACES = "date STRING, province STRING, city STRING, adid BIGINT, click_count BIGINT"
+MINUTES = "date STRING, hour STRING, minute STRING, adid BIGINT, click_count BIGINT"
+USER_BUCKETS = 16
+# What the places query keeps in its state.
+TOTALS = {"city": ads.CITY_KEYS, "province": ads.PROVINCE_KEYS}
 
 
 @dataclass(frozen=True)
@@ -26,6 +38,7 @@ class AdTables:
     province_top: KeyedTable
     trend: KeyedTable
     malformed: KeyedTable
+    kept: str
 
     @staticmethod
     def at(spark: SparkSession, path: str, compact_every: int = 50) -> AdTables:
@@ -34,21 +47,19 @@ class AdTables:
                 spark, f"{path}/{name}", schema, mode, compact_every=compact_every, **more
             )
 
-        counted = {"values": ["click_count"], "partition": "date"}
+        counted = {"values": ["click_count"]}
+        daily = {"partition": "date", **counted}
         return AdTables(
             table("ad_user_click_count", "date STRING, userid BIGINT, adid BIGINT, click_count BIGINT",
-                  "add", keys=ads.USER_KEYS, **counted),
+                  "add", keys=ads.USER_KEYS, buckets=USER_BUCKETS, bloom="userid", **counted),
             table("ad_blacklist", "userid BIGINT", "insert_distinct", keys=["userid"]),
-            table("ad_stat",
-                  "date STRING, province STRING, city STRING, adid BIGINT, click_count BIGINT",
-                  "add", keys=ads.CITY_KEYS, **counted),
+            table("ad_stat", PLACES, "overwrite", keys=ads.CITY_KEYS, **daily),
             table("ad_province_top3",
                   "date STRING, province STRING, adid BIGINT, click_count BIGINT",
-                  "replace_groups", keys=ads.PROVINCE_KEYS, group=["date", "province"], **counted),
-            table("ad_click_trend",
-                  "date STRING, hour STRING, minute STRING, adid BIGINT, click_count BIGINT",
-                  "add", keys=ads.MINUTE_KEYS, **counted),
+                  "replace_groups", keys=ads.PROVINCE_KEYS, group=["date", "province"], **daily),
+            table("ad_click_trend", MINUTES, "overwrite", keys=ads.MINUTE_KEYS, **daily),
             table("ad_malformed", MALFORMED, "add", keys=["source"], values=["line_count"]),
+            f"{path}/ad_kept",
         )
 
 
@@ -59,18 +70,14 @@ def malformed_count(counts: DataFrame, key: str, source: str) -> DataFrame:
     )
 
 
-def process_batch(
-    lines: DataFrame, batch_id: int, tables: AdTables,
-    limit: int = ads.CLICK_LIMIT, top_k: int = 3, scope: str = "day",
+def process_clicks(
+    lines: DataFrame, batch_id: int, tables: AdTables, limit: int = ads.CLICK_LIMIT
 ) -> None:
-    """Apply one micro-batch to all tables.
-
-    The order matters: users blacklisted so far are dropped first, then totals are
-    brought up to date, then users over the limit are blacklisted from the next batch on.
-    Running the same batch again leaves the same tables.
+    """Apply one micro-batch of lines.
 
-    ``scope`` says what the province list ranks: the day's running totals (``day``) or the
-    clicks of the batch alone (``batch``).
+    Users blacklisted by earlier batches are dropped; users over the limit with this batch's clicks
+    are blacklisted from the next batch on. Users that are listed never get this far, so the list is
+    a log of changes. Running the same batch again leaves the same tables.
     """
     parsed = ads.parse_ad_log(lines, keep_malformed=True)
     # The raw batch is read once and counted before any join: all that follows works on
@@ -78,61 +85,170 @@ def process_batch(
     counts = ads.count_minutes(parsed, "province", "city", "userid", "adid")
     counts = ads.drop_blacklisted(counts, tables.blacklist.read(batch_id - 1)).persist()
     try:
-        tables.malformed.write(malformed_count(counts, "date", "ad log"), batch_id)
         cells = counts.filter(F.col("date").isNotNull())
-        # Days with clicks in this batch.
-        days = [r["date"] for r in cells.select("date").distinct().limit(MOST_DAYS + 1).collect()]
-        days = days if len(days) <= MOST_DAYS else None
-
-        tables.user_clicks.write(ads.sum_clicks(cells, *ads.USER_KEYS), batch_id)
-        touched = cells.select(*ads.USER_KEYS).distinct()
-        totals = tables.user_clicks.read(batch_id, days).join(
-            touched, list(ads.USER_KEYS), "left_semi"
+        clicks = ads.sum_clicks(cells, *ads.USER_KEYS)
+        earlier = tables.user_clicks.lookup(clicks, batch_id - 1)
+        totals = ads.sum_clicks(earlier.unionByName(clicks), *ads.USER_KEYS)
+        hand_on = {"places": ads.CITY_KEYS, "minutes": ads.MINUTE_KEYS}
+        run_together(
+            lines.sparkSession,
+            *[lambda name=name, keys=keys: publish(
+                ads.sum_clicks(cells, *keys), f"{tables.kept}/{name}/{batch_id}")
+              for name, keys in hand_on.items()],
+            lambda: tables.user_clicks.write(clicks, batch_id),
+            lambda: tables.blacklist.write(ads.over_limit_users(totals, limit), batch_id),
+            lambda: tables.malformed.write(malformed_count(counts, "date", "ad log"), batch_id),
         )
-        tables.blacklist.write(ads.over_limit_users(totals, limit), batch_id)
+    finally:
+        counts.unpersist()
 
-        tables.city_clicks.write(ads.sum_clicks(cells, *ads.CITY_KEYS), batch_id)
-        if scope == "day":
-            groups = cells.select("date", "province").distinct()
-            ranked = tables.city_clicks.read(batch_id, days).join(
-                groups, ["date", "province"], "left_semi"
-            )
-        else:
-            ranked = cells
-        tables.province_top.write(
-            ads.top_province_ads(ads.sum_clicks(ranked, *ads.PROVINCE_KEYS), top_k), batch_id
-        )
 
-        tables.trend.write(ads.sum_clicks(cells, *ads.MINUTE_KEYS), batch_id)
+def publish_places(changed: DataFrame, batch_id: int, tables: AdTables, top_k: int = 3) -> None:
+    """Write the totals that a micro-batch changed, and the top lists of their provinces.
+
+    Totals only grow, so a list's next state lies in its last one and the changed totals.
+    """
+    changed = changed.persist()
+    try:
+        provinces = of_kind(changed, "province", *ads.PROVINCE_KEYS, "click_count")
+        groups = provinces.select("date", "province").distinct()
+        listed = tables.province_top.read(batch_id - 1).join(
+            groups, ["date", "province"], "left_semi"
+        )
+        newest = listed.unionByName(provinces).groupBy(*ads.PROVINCE_KEYS).agg(
+            F.max("click_count").alias("click_count")
+        )
+        run_together(
+            changed.sparkSession,
+            lambda: tables.city_clicks.write(
+                of_kind(changed, "city", *ads.CITY_KEYS, "click_count"), batch_id),
+            lambda: tables.province_top.write(ads.top_province_ads(newest, top_k), batch_id),
+        )
     finally:
-        counts.unpersist()
+        changed.unpersist()
 
 
-def start_ad_stream(
+def _trigger(interval: str | None) -> dict:
+    return {"processingTime": interval} if interval else {"availableNow": True}
+
+
+def start_clicks(
     lines: DataFrame, tables: AdTables, checkpoint: str,
-    interval: str | None = "5 seconds", **options,
+    interval: str | None = "5 seconds", limit: int = ads.CLICK_LIMIT,
 ) -> StreamingQuery:
-    """Run the ad statistics on a line stream; ``interval=None`` works off what is there."""
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    """The clicks query on a line stream; ``interval=None`` works off what is there."""
     return (
         lines.select("value")
-        .writeStream.foreachBatch(lambda df, batch_id: process_batch(df, batch_id, tables, **options))
+        .writeStream.foreachBatch(lambda df, batch_id: process_clicks(df, batch_id, tables, limit))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(interval))
+        .start()
+    )
+
+
+def _handed_on(spark: SparkSession, tables: AdTables, name: str, schema: str) -> DataFrame:
+    """What the clicks query hands on; files go once their micro-batch is done."""
+    folder = f"{tables.kept}/{name}"
+    fs, path = file_system(spark, folder)
+    fs.mkdirs(path)
+    return (
+        spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+        .option("cleanSource", "delete").parquet(folder)
+    )
+
+
+def _start(totals: DataFrame, apply, checkpoint: str, interval: str | None) -> StreamingQuery:
+    return (
+        totals.writeStream.outputMode("update").foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**_trigger(interval))
         .start()
     )
 
 
+def start_places(
+    spark: SparkSession, tables: AdTables, checkpoint: str,
+    interval: str | None = "5 seconds", top_k: int = 3,
+) -> StreamingQuery:
+    """The places query: totals by city, and the top lists of the provinces."""
+    use_state_store(spark)
+    cells = _handed_on(spark, tables, "places", PLACES)
+    return _start(
+        running_totals(by_kind(cells, TOTALS, "click_count")),
+        lambda df, batch_id: publish_places(df, batch_id, tables, top_k), checkpoint, interval,
+    )
+
+
+def start_minutes(
+    spark: SparkSession, tables: AdTables, checkpoint: str, interval: str | None = "5 seconds"
+) -> StreamingQuery:
+    """The minutes query: totals by minute."""
+    use_state_store(spark)
+    return _start(
+        running_totals(_handed_on(spark, tables, "minutes", MINUTES)), tables.trend.write,
+        checkpoint, interval,
+    )
+
+
+@dataclass(frozen=True)
+class AdStream:
+    """The running queries of the stream."""
+
+    queries: tuple[StreamingQuery, ...]
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
+
+    def awaitTermination(self) -> None:
+        """Wait until one of them ends, and stop the others; an error is raised."""
+        try:
+            while all(query.isActive for query in self.queries):
+                self.queries[0].awaitTermination(1)
+            for query in self.queries:
+                if query.exception():
+                    raise query.exception()
+        finally:
+            self.stop()
+
+
+def start_ad_stream(
+    lines: DataFrame, tables: AdTables, checkpoint: str, interval: str = "5 seconds",
+    limit: int = ads.CLICK_LIMIT, top_k: int = 3,
+) -> AdStream:
+    """Run the ad statistics on a line stream."""
+    spark = lines.sparkSession
+    return AdStream((
+        start_clicks(lines, tables, f"{checkpoint}/clicks", interval, limit),
+        start_places(spark, tables, f"{checkpoint}/places", interval, top_k),
+        start_minutes(spark, tables, f"{checkpoint}/minutes", interval),
+    ))
+
+
+def run_ad_stream(
+    lines: DataFrame, tables: AdTables, checkpoint: str, limit: int = ads.CLICK_LIMIT,
+    top_k: int = 3, totals: tuple[str, ...] = ("places", "minutes"),
+) -> None:
+    """Work off what is there, with the totals that are asked for."""
+    spark = lines.sparkSession
+    start_clicks(lines, tables, f"{checkpoint}/clicks", None, limit).awaitTermination()
+    start = {
+        "places": lambda at: start_places(spark, tables, at, None, top_k),
+        "minutes": lambda at: start_minutes(spark, tables, at, None),
+    }
+    for query in [start[name](f"{checkpoint}/{name}") for name in totals]:
+        query.awaitTermination()
+
+
 def start_ad_ingest(
     lines: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds"
 ) -> StreamingQuery:
     """Append parsed ad clicks to files; ``interval=None`` works off what is there."""
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         ads.parse_ad_log(lines)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**_trigger(interval))
         .start()
     )
