@@ -200,7 +200,8 @@ def _rates(counts: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
 class _Block:
     """Sums for the pairs of two blocks of sources over the terms of one part."""
 
-    def __init__(self) -> None:
+    def __init__(self, alone: bool) -> None:
+        self.alone = alone  # a block with itself
         self.at: dict[str, int] = {}
         self.sides: list[list[int]] = [[], []]
         self.totals: list[tuple[int, int]] = []
@@ -225,7 +226,7 @@ class _Block:
     def compare(self) -> None:
         if not self.sums:
             left, right = self.sides
-            if not right:  # a block with itself
+            if self.alone:
                 order = left
                 self.sums = [(a, np.array(order[i + 1:], int), np.zeros(len(order) - i - 1, np.int64))
                              for i, a in enumerate(order)]
@@ -265,7 +266,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (lang, x, y, number) != key:
                 if block:
                     yield from block.rows(key[0])
-                key, block = (lang, x, y, number), _Block()
+                key, block = (lang, x, y, number), _Block(x == y)
             if term is None:
                 block.head(side, source, total, vocabulary)
             else:

@@ -24,7 +24,7 @@ def stages(spark):
 def test_registered():
     names = list(__spark_entry__.queries())
     assert [n.split("_")[0] for n in names if n.startswith("op")] == [
-        f"op{i}" for i in range(1, 11)]
+        f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality", "toxicity", "near_copies", "personal_data", "packing"]
