@@ -29,6 +29,7 @@ RECALL = 0.98  # of a factor on the sample
 TRIED = 64  # sampled rows that are asked for it
 LEAF = 64
 SHARD_ROWS = 8192
+LEAST_ROWS = 512  # of a shard on average: fewer bound a query's kth distance badly
 SAMPLE_ROWS = 16_384
 SAMPLE_LEAF = 16  # sampled rows of a shard at least
 ASKED = 256  # queries that a tree is asked at a time
@@ -380,7 +381,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float |
     if not rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     samples = _sampled(data, rows, sample_rows)
-    tops = {width: Shards(_on_sphere(own, longest), max(tasks, -(-rows // shard_rows)))
+    shards = max(1, min(tasks, rows // LEAST_ROWS), -(-rows // shard_rows))
+    tops = {width: Shards(_on_sphere(own, longest), shards)
             for width, own in samples.items()}
     if factor is None:
         factor = tuned(max(samples.values(), key=len), k, longest) if samples else 1.0
