@@ -32,6 +32,7 @@ SUPPORT = 3  # different surroundings of an entity that a term must go with
 DISCLOSED = 0.9  # share of the entity's information that a term may give away
 REMOVED = 0.99  # from here on the term goes altogether
 FILTER_BITS = 1 << 23
+HELD = 200_000  # counters of a task before it hands them on
 SCHEMA = ("doc_id long, text string, n_email long, n_ip long, n_card long, n_phone long, "
           "base string, spans string")
 
@@ -208,7 +209,7 @@ def _filter(terms: DataFrame) -> np.ndarray | None:
 class _Maybe(dict):
     """The hash of each word that the filter lets through; None for all others."""
 
-    def __init__(self, bits: np.ndarray | None, most: int = 300_000) -> None:
+    def __init__(self, bits: np.ndarray | None, most: int = T.KEPT_WORDS) -> None:
         super().__init__()
         self.bits, self.most = bits, most
 
@@ -228,14 +229,20 @@ def _documents(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     """term, documents: in how many texts each term stands that the filter lets through."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maybe = _Maybe(bits)
+        maybe, n = _Maybe(bits), Counter()
+
+        def counted() -> pa.RecordBatch:
+            n.pop(None, None)
+            return pa.record_batch([pa.array(n.keys(), pa.int64()),
+                                    pa.array(n.values(), pa.int64())], names=["term", "n"])
+
         for batch in T.rows(batches):
-            n = Counter()
             for text in batch.column(1).to_pylist():
                 n.update({maybe[w] for w in set(_WORD.findall(text))})
-            n.pop(None, None)
-            yield pa.record_batch([pa.array(n.keys(), pa.int64()),
-                                   pa.array(n.values(), pa.int64())], names=["term", "n"])
+            if len(n) >= HELD:
+                yield counted()
+                n.clear()
+        yield counted()
 
     return (T.texts(docs).mapInArrow(found, "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("documents")))
@@ -363,7 +370,8 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, disclosed: float = DISCLOS
     alike; extra columns are left out unless ``carry`` names them; an empty table gives no rows.
     """
     terms = T.written(disclosing_terms(docs, support, disclosed), "pii-terms")
-    scanned = _scanned(docs, _filter(terms), carry)
+    # Written, so that the texts are scanned once for the three uses below.
+    scanned = T.written(_scanned(docs, _filter(terms), carry), "pii-scanned")
     names = [*(f.split()[0] for f in SCHEMA.split(", ")), *carry]
     plain = scanned.where(F.size("maybe") == 0).select(*names)
     # The few texts with words that may be terms: one row for each place, joined exactly.
