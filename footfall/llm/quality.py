@@ -57,8 +57,7 @@ def text_terms(text: str) -> set[str]:
 @lru_cache(1)
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """For each code point: is it a letter, is it a capital."""
-    every = [chr(c) for c in range(0x110000)]
-    return tuple(np.fromiter(map(kind, every), bool, len(every))
+    return tuple(np.fromiter(map(kind, map(chr, range(0x110000))), bool, 0x110000)
                  for kind in (str.isalpha, str.isupper))
 
 
@@ -154,7 +153,7 @@ def _index(chosen: np.ndarray):
         for term in text_terms(text):
             at = known.get(term)
             if at is None:
-                if len(known) >= 300_000:
+                if len(known) >= T.KEPT_WORDS:
                     known.clear()
                 at = known[term] = number.get(M._hash(term), -1)
             out.add(at)

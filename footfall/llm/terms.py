@@ -88,7 +88,7 @@ def telling(sample: DataFrame, terms: Terms, most: int, least: int = 3) -> np.nd
 class Index(dict):
     """The numbers of a word's terms among the chosen ones; kept for the words met lately."""
 
-    def __init__(self, chosen: np.ndarray, terms: Terms, most: int = 300_000) -> None:
+    def __init__(self, chosen: np.ndarray, terms: Terms, most: int = T.KEPT_WORDS) -> None:
         super().__init__()
         self.number = {int(t): i for i, t in enumerate(chosen)}
         self.terms, self.most = terms, most

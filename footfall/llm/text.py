@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 # Words as the n-gram contract has them: runs of anything but these six white-space characters.
 WORDS = re.compile("[^\x20\x09-\x0d]+")
+KEPT_WORDS = 100_000  # that a task keeps looked up, some 15 MB
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
@@ -47,7 +48,7 @@ def rows(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[pa.Reco
 class WordHashes(dict):
     """64-bit hash of each word, kept for the words met lately."""
 
-    def __init__(self, most: int = 300_000) -> None:
+    def __init__(self, most: int = KEPT_WORDS) -> None:
         super().__init__()
         self.most = most
 

@@ -79,3 +79,12 @@ def test_rows_without_id_and_repeated_rows(spark, docs):
     masked = corpus_pipeline.without_personal_data(spark, frame, SMALL)
     assert masked.count() == 6
     assert ngram_join.components(frame).count() == 6
+
+
+def test_texts_of_a_repeated_id_are_kept(spark, docs):
+    x, y, z = (" ".join(f"{name}{i}" for i in range(30)) for name in "xyz")
+    frame = docs((3, x), (5, x), (5, y), (5, y), (6, y + " more"), (7, z), (None, x)).select(
+        *corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.one_of_each(spark, frame, SMALL).collect()
+    assert sorted(r.text[0] for r in kept if r.doc_id is not None) == ["x", "y", "z"]
+    assert {r.doc_id for r in kept} <= {3, 5, 6, 7, None}
