@@ -31,11 +31,21 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, Jaccard 0.8, the smallest id.
 
-    Of rows with one id one stays; rows without id are in no group and stay.
+    Of equal rows one stays. An id with several texts stands for each of them by itself, as a
+    negative number, so that no text is lost. Rows without id are in no group and stay.
     """
-    firsts = (ngram_join.components(docs, words=5, percent=80)
-              .where("component_id = doc_id").select("doc_id"))
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    again = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count()
+                    .where("count > 1").select("doc_id"), "repeated-ids")
+    own = docs.select(*COLUMNS, F.col("doc_id").alias("own"))
+    if not again.isEmpty():
+        mark = -F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1) - 1
+        own = (docs.join(again.withColumn("again", F.lit(True)), "doc_id", "left")
+               .select(*COLUMNS, F.when(F.col("again"), mark).otherwise(F.col("doc_id"))
+                       .alias("own")))
+    named = own.select(F.col("own").alias("doc_id"), "text")
+    firsts = (ngram_join.components(named, words=5, percent=80)
+              .where("component_id = doc_id").select(F.col("doc_id").alias("own")))
+    kept = own.join(firsts, "own", "left_semi").dropDuplicates(["own"])
     return kept.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
