@@ -142,8 +142,12 @@ def _minute() -> Column:
 
 def count_minutes(ads: DataFrame, *keys: str) -> DataFrame:
     """Clicks per minute and further keys; the minute as three text columns."""
+    return _text_minute(count_clicks(ads, _minute().alias("at"), *keys), *keys)
+
+
+def _text_minute(counts: DataFrame, *keys: str) -> DataFrame:
     at = F.timestamp_millis(F.col("at") * MINUTE_MS)
-    return count_clicks(ads, _minute().alias("at"), *keys).select(
+    return counts.select(
         F.date_format(at, "yyyyMMdd").alias("date"),
         F.date_format(at, "HH").alias("hour"),
         F.date_format(at, "mm").alias("minute"),
@@ -165,19 +169,69 @@ def last_minutes(trend: DataFrame, minutes: int = 60) -> DataFrame:
 
 
 def hour_trend(ads: DataFrame, minutes: int = 60) -> DataFrame:
-    """Clicks per minute and ad over the last ``minutes`` minutes of event time."""
-    newest = ads.agg(F.max("ts_ms")).select(F.floor(F.col("max(ts_ms)") / MINUTE_MS)).scalar()
-    return minute_clicks(ads.filter(_minute() > newest - minutes))
+    """Clicks per minute and ad over the last ``minutes`` minutes of event time.
 
+    Lines are read and counted once; the newest minute is looked up among the counts.
+    """
+    counts = ads.groupBy(_minute().alias("at"), "adid").agg(
+        F.count("*").alias("click_count"),
+        # The group's own minute as an aggregate: a filter on it is not moved below the counting,
+        # so both uses of the counts share one shuffle.
+        F.max(_minute()).alias("newest"),
+    )
+    # The count comes along for the same reason: without it the columns differ.
+    last = counts.agg(F.max(F.struct("newest", "click_count"))["newest"]).scalar()
+    kept = counts.filter(F.col("newest") > last - minutes)
+    return _text_minute(kept, "adid")
 
-def sliding_clicks(ads: DataFrame, length: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
-    """Clicks per ad in every sliding window.
 
-    Clicks are counted per slide first; only those counts are copied into the windows they
-    belong to.
+def slide_changes(ads: DataFrame, length: int, slide: int) -> DataFrame:
+    """adid, day, at, change: by how much the sum of ``length`` minutes changes at a window start.
+
+    A count enters the sums with the first window that reaches its slide and leaves them with the
+    first that starts after it, so two changes for each count are all that is shuffled.
+    """
+    step, day = slide * MINUTE_MS, 86_400_000 // (slide * MINUTE_MS)
+    counts = count_clicks(ads, F.floor(F.col("ts_ms") / step).alias("slot"), "adid")
+    return counts.select("adid", F.inline(F.array(
+        F.struct((F.col("slot") - length // slide + 1).alias("at"),
+                 F.col("click_count").alias("change")),
+        F.struct((F.col("slot") + 1).alias("at"), (-F.col("click_count")).alias("change")),
+    ))).groupBy("adid", F.floor(F.col("at") / day).alias("day"), "at").agg(
+        F.sum("change").alias("change"))
+
+
+def sliding_clicks(ads: DataFrame, length: int = 60, slide: int = 1) -> DataFrame:
+    """Clicks per ad in every sliding window of ``length`` minutes that starts each ``slide``.
+
+    Clicks are counted per slide, and their changes (:func:`slide_changes`) are summed up within
+    days, each day beginning with the sum of the days before, so that an ad's history is not one
+    group. A sum holds until the ad's next change.
     """
-    slot = F.window(F.timestamp_millis("ts_ms"), slide).alias("slot")
-    copies = F.window(F.col("slot.start"), length, slide).alias("w")
-    return sum_clicks(count_clicks(ads, slot, "adid"), copies, "adid").select(
-        F.date_format("w.start", "yyyy-MM-dd HH:mm").alias("window_start"), "adid", "click_count"
+    if length % slide:
+        raise ValueError("a window is a whole number of slides")
+    changes = slide_changes(ads, length, slide)
+    days = Window.partitionBy("adid").orderBy("day")
+    carried = changes.groupBy("adid", "day").agg(
+        F.sum("change").alias("change"), F.min("at").alias("first")
+    ).select(
+        "adid", "day",
+        F.coalesce(F.sum("change").over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("before"),
+        F.lead("first").over(days).alias("next_first"),
+    )
+    inside = Window.partitionBy("adid", "day").orderBy("at")
+    sums = changes.withColumns({
+        "running": F.sum("change").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+        "next_at": F.lead("at").over(inside),
+    }).join(carried, ["adid", "day"])
+    runs = sums.select(
+        "adid", "at", F.coalesce("next_at", "next_first").alias("until"),
+        (F.col("before") + F.col("running")).alias("click_count"),
+    ).filter(F.col("click_count") > 0)
+    starts = F.explode(F.sequence(F.col("at"), F.col("until") - 1))
+    return runs.select(starts.alias("at"), "adid", "click_count").select(
+        F.date_format(F.timestamp_millis(F.col("at") * (slide * MINUTE_MS)), "yyyy-MM-dd HH:mm")
+        .alias("window_start"),
+        "adid", "click_count",
     )

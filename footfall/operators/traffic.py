@@ -111,8 +111,12 @@ def course_search_report(searches: DataFrame, courses: DataFrame, day: str) -> D
 
 
 def store_counters(counters: DataFrame, path: str) -> DataFrame:
-    """Write counters by day; the returned frame reads only the days that are asked for."""
-    counters.write.mode("overwrite").partitionBy("day").parquet(path)
+    """Write counters by day; the returned frame reads only the days that are asked for.
+
+    A day's rows are brought together first, so that a small day is one file.
+    """
+    rows = counters.hint("rebalance", "day")
+    rows.write.mode("overwrite").partitionBy("day").parquet(path)
     return counters.sparkSession.read.schema(counters.schema).parquet(path)
 
 

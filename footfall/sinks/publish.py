@@ -7,7 +7,7 @@ renaming a folder is one step, as on HDFS or a local disk; object stores have ta
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -21,7 +21,8 @@ def file_system(spark: SparkSession, folder: str):
 
 
 def publish(
-    rows: DataFrame, folder: str, partition_by: Sequence[str] = (), replace: bool = False
+    rows: DataFrame, folder: str, partition_by: Sequence[str] = (), replace: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> bool:
     """Write ``rows`` as ``folder``; says whether it did.
 
@@ -36,7 +37,8 @@ def publish(
         path.getParent(), f"_{path.getName()}-{uuid.uuid4().hex}"
     )
     try:
-        rows.write.partitionBy(*partition_by).parquet(hidden.toString())
+        writer = rows.write.options(**options or {}).partitionBy(*partition_by)
+        writer.parquet(hidden.toString())
         if replace:
             fs.delete(path, True)
         if fs.rename(hidden, path):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from collections import Counter
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -109,3 +110,34 @@ def test_sliding_windows(spark, seed):
             h, m = divmod(600 + start, 60)
             want[f"2024-01-01 {h:02d}:{m:02d}"] = n
     assert got == want
+
+
+def test_sliding_sums_over_days_and_gaps(spark):
+    """Each window by hand; a count enters with one window and leaves with another."""
+    times = ["2024-01-01 23:30:30", "2024-01-01 23:59:59", "2024-01-02 00:00:00",
+             "2024-01-02 00:20:10", "2024-01-04 05:00:00", "1969-12-31 23:10:00"]
+    df = parsed(spark, *[click(t, ad=1) for t in times], click(times[2], ad=2))
+    got = {(r["window_start"], r["adid"]): r["click_count"] for r in ads.sliding_clicks(df).collect()}
+    want = Counter()
+    for ad, at_ in [(1, t) for t in times] + [(2, times[2])]:
+        minute = datetime.fromisoformat(at_).replace(second=0)
+        for back in range(60):
+            want[f"{minute - timedelta(minutes=back):%Y-%m-%d %H:%M}", ad] += 1
+    assert got == want
+
+
+def test_sliding_sums_shuffle_two_changes_for_each_count(spark):
+    df = parsed(spark, *[click(f"2024-01-0{1 + m % 5} {m % 24:02d}:{m % 60:02d}:00", ad=m % 3)
+                         for m in range(500)])
+    counts = df.selectExpr("floor(ts_ms / 60000) AS m", "adid").distinct().count()
+    changes = ads.slide_changes(df, 60, 1)
+    assert counts < changes.count() <= 2 * counts
+    assert changes.agg({"change": "sum"}).first()[0] == 0
+
+
+def test_trend_reads_the_lines_once(spark):
+    df = ads.parse_ad_log(lines(spark, click("2024-01-01 10:00:00"), click("2024-01-01 11:30:00")))
+    trend = ads.hour_trend(df)
+    assert [r["hour"] for r in trend.collect()] == ["11"]
+    text = trend._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in text or text.count("Scan ExistingRDD") <= 2

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from footfall import __main__ as command
 from footfall.operators import area, scans
@@ -43,10 +45,10 @@ def test_session_job(spark, actions, tmp_path):
         ("session_stat_ratio", "session_ratio"), ("session_stat_top10category", "top10_categories"),
         ("session_stat_top10session", "top10_sessions"),
     ):
-        got, want = spark.read.parquet(f"{tmp_path}/{table}"), queries()[query](spark, SF_DIR)
+        got, want = sink.read(spark, table), queries()[query](spark, SF_DIR)
         assert got.columns == want.columns
         assert rows(got) == rows(want)
-    extract = spark.read.parquet(f"{tmp_path}/session_random_extract")
+    extract = sink.read(spark, "session_random_extract")
     assert extract.columns == [
         "taskid", "sessionid", "startTime", "searchKeywords", "clickCategoryIds"
     ]
@@ -55,6 +57,34 @@ def test_session_job(spark, actions, tmp_path):
     assert {r["taskid"] for r in ratios.collect()} == {"task-1", other}
 
 
+def test_task_that_runs_again_leaves_its_rows_once(spark, tmp_path):
+    sink = ResultSink(path=str(tmp_path))
+    for task, n in (("a/1", 1), ("b", 2), ("a/1", 3)):
+        sink.append(spark.createDataFrame([(n,)], "n INT"), "t", task)
+    assert rows(sink.read(spark, "t")) == [("a/1", 3), ("b", 2)]
+
+
+def _fails_half_way(spark):
+    return spark.range(0, 4, 1, 4).select(
+        F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("id"))
+        .cast("int").alias("n"))
+
+
+def test_failed_results_leave_the_old_ones(spark, tmp_path):
+    sink = ResultSink(path=str(tmp_path))
+    sink.append(spark.createDataFrame([(1,)], "n INT"), "t", "a")
+    replace_table(spark.createDataFrame([(1,)], "n INT"), "whole_or_old")
+    for write in (lambda df: sink.append(df, "t", "a"), lambda df: sink.append(df, "t", "b"),
+                  lambda df: replace_table(df, "whole_or_old")):
+        with pytest.raises(PySparkException):
+            write(_fails_half_way(spark))
+    assert rows(sink.read(spark, "t")) == [("a", 1)]
+    assert rows(spark.table("whole_or_old")) == [(1,)]
+    replace_table(spark.createDataFrame([(2,)], "n INT"), "whole_or_old")
+    assert rows(spark.table("whole_or_old")) == [(2,)]
+    assert [t.name for t in spark.catalog.listTables() if "whole" in t.name] == ["whole_or_old"]
+
+
 def test_page_job(spark, actions, tmp_path):
     jobs.run_page_job(actions, ADULTS, ResultSink(path=str(tmp_path)), "t")
     row = spark.read.parquet(f"{tmp_path}/page_convert_ratio").first()
