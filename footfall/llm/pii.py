@@ -371,7 +371,7 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, disclosed: float = DISCLOS
     """
     terms = T.written(disclosing_terms(docs, support, disclosed), "pii-terms")
     # Written, so that the texts are scanned once for the three uses below.
-    scanned = T.written(_scanned(docs, _filter(terms), carry), "pii-scanned")
+    scanned = T.written(_scanned(docs, _filter(terms), carry), "pii-scanned", "zstd")
     names = [*(f.split()[0] for f in SCHEMA.split(", ")), *carry]
     plain = scanned.where(F.size("maybe") == 0).select(*names)
     # The few texts with words that may be terms: one row for each place, joined exactly.
