@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from footfall.operators import page_flow
 from tests.helpers import actions, rows
@@ -56,6 +57,47 @@ def test_sessions_over_many_hours(spark):
     assert pages == {99: 0, **{i: i + 1 for i in range(59)}, 59: None}
 
 
+@pytest.mark.parametrize("direction", ["desc", "asc"])
+def test_crowded_hour_is_cut(spark, direction):
+    """Two thirds of all rows in one second of one session, others without a time or a session."""
+    rng = random.Random(7)
+    data = [
+        {
+            "session": "crowd" if i % 3 else rng.choice([None, "a", "b"]),
+            "time": "2024-01-01 10:00:00" if i % 3 else rng.choice(["", "2024-01-01 10:00:00"]),
+            "page": rng.randrange(5), "id": i,
+        }
+        for i in range(600)
+    ]
+    df = actions(spark, *data)
+    got = page_flow.following_pages(df, direction, cuts=64, drawn=1)
+    assert sorted(
+        (tuple(r) for r in got.select("event_id", "page_id", "next_page_id").collect())
+    ) == _by_hand([{**r, "time": r["time"] or "0"} for r in data], direction)
+    # No range of the crowd holds more than a small part of its 400 rows.
+    rows = df.select(
+        "session_id", "page_id", "event_id", F.xxhash64("session_id").alias("session_hash"),
+        F.xxhash64("event_id").alias("number"), F.lit(0).alias("hour_key"), F.lit(None).cast("timestamp").alias("ts"))
+    parts = (page_flow._with_parts(rows, ["ts", "event_id"], 64, 1)
+             .where("session_id = 'crowd'").groupBy("part").count().collect())
+    assert len(parts) > 20 and max(r["count"] for r in parts) < 80
+
+
+@pytest.mark.parametrize("direction", ["desc", "asc"])
+def test_rows_without_event_id_or_with_null_ids(spark, direction):
+    df = actions(spark, *[{"session": "a", "page": i % 7, "id": i} for i in range(70)])
+    bare = page_flow.following_pages(df.drop("event_id"), direction, cuts=32, drawn=1)
+    pages = sorted([i % 7 for i in range(70)], reverse=direction == "desc")
+    assert sorted(
+        ((r.page_id, r.next_page_id) for r in bare.collect()), key=str
+    ) == sorted(zip(pages, [*pages[1:], None]), key=str)
+    half = df.withColumn("event_id", F.when(F.col("event_id") == 0, None).otherwise(F.col("event_id")))
+    got = page_flow.following_pages(half, direction, cuts=32, drawn=1)
+    after = {r.event_id: r.next_page_id for r in got.collect()}
+    step = 1 if direction == "asc" else -1
+    assert after == {i or None: (i + step) % 7 if 0 <= i + step < 70 else None for i in range(70)}
+
+
 def test_building_the_query_runs_no_job(spark):
     before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
     page_flow.following_pages(actions(spark, *_data()))
