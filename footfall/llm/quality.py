@@ -16,19 +16,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm import terms as M
 from footfall.llm import text as T
 
-# Bounds of the fit: labelled rows of each class, unlabelled rows, chosen terms.
+# Bounds of the fit: labelled rows of each class, rows with a pseudo-label of each class and view,
+# chosen terms. Pseudo-labels themselves come from all unlabelled rows.
 SAMPLE_ROWS = 2000
-POOL_ROWS = 3000
+MARKED_ROWS = 1000
 TERMS = 2048
 ROUNDS = 4
-# Share of the pool that each view hands over in a round, and how sure it must be.
+# Share of the unlabelled rows that each view hands over more in each round, and how sure it must be.
 HANDED, SURE = 0.1, 0.9
+FEATURES = "doc_id long, terms array<int>, page array<double>"
+_STEPS = 64  # logit bins for one unit
 SCHEMA = "doc_id long, score double, predicted int, text_score double, metadata_score double"
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _BINS = (0.02, 0.05, 0.1, 0.2, 0.4, 0.6, 0.8)
@@ -184,92 +188,180 @@ def _platt(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float
     return a, b, float(-(weight * (soft * np.log(p) + (1 - soft) * np.log(1 - p))).sum())
 
 
-def _handed(logits: np.ndarray, free: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The free rows this view is surest of, of either class, and their pseudo-labels."""
-    p = M.sigmoid(logits)
-    picked, marks = [], []
-    for mark, sure in ((0, 1 - p), (1, p)):
-        able = np.flatnonzero(free & (sure >= SURE))
-        best = able[np.argsort(-sure[able], kind="stable")][:most]
-        picked.append(best)
-        marks.append(np.full(len(best), float(mark)))
-    return np.concatenate(picked), np.concatenate(marks)
+def _limits(counts: dict[int, int], most: float) -> tuple[int, int, int, int]:
+    """The bins of logits that one view hands over: up to which for class 0, from which for class 1,
+    and how many rows each has. Whole bins are taken, the surest first, until ``most`` are."""
+    sure = int(np.ceil(np.log(SURE / (1 - SURE)) * _STEPS))
+    out = []
+    for order, able in ((sorted(counts), lambda x: x < -sure),
+                        (sorted(counts, reverse=True), lambda x: x >= sure)):
+        last, taken = None, 0
+        for x in order:
+            if taken >= most or not able(x):
+                break
+            last, taken = x, taken + counts[x]
+        out.append((last, taken))
+    (low, n0), (high, n1) = out
+    return -(2**30) if low is None else low, 2**30 if high is None else high, n0, n1
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
-        pool_rows: int = POOL_ROWS, terms: int = TERMS, rounds: int = ROUNDS) -> Model:
-    """Co-trains both views on at most ``sample_rows`` labelled rows of each class and
-    ``pool_rows`` unlabelled ones.
+def _features(docs: DataFrame, chosen: np.ndarray) -> DataFrame:
+    """doc_id, numbers of the chosen terms and page metadata of every row, computed once."""
 
-    Labelled rows whose crc32(doc_id as text) mod 5 is 0 calibrate the views. Without rows of both
-    classes every score is 1 (keep) if no row is labelled, else the only class seen.
-    """
-    sample = M.labelled(labels, "quality", sample_rows, F.lit(True))
-    pool = (docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
-            .join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id",
-                  "left_anti")
-            .distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool_rows)
-            .select("doc_id", F.lit(-1).alias("y"), F.lit(1.0).alias("weight")))
-    rows = sample.unionByName(pool)
-    known = T.written(M.texts_of(docs, rows, "lang", "source")
-                      .withColumn("fold", T.fold("doc_id", 5)), "quality-sample")
-    chosen = M.telling(known.where("y >= 0 AND fold <> 0"), text_terms, terms)
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(chosen)
         for batch in T.rows(batches):
             texts, langs, sources = (batch.column(i).to_pylist() for i in (1, 2, 3))
             pages = [metadata(*r) for r in zip(texts, langs, sources, strict=True)]
             yield pa.record_batch(
-                [batch.column(0), *(batch.column(i) for i in (4, 5, 6)),
-                 pa.array([index(t) for t in texts], pa.list_(pa.int64())),
-                 pa.array(pages, pa.list_(pa.float64()))],
-                names=["doc_id", "y", "weight", "fold", "terms", "page"])
-
-    found = (known.select("doc_id", "text", "lang", "source", "y", "weight", "fold")
-             .mapInArrow(numbered, "doc_id long, y int, weight double, fold long, "
-                                   "terms array<long>, page array<double>")
+                [batch.column(0), pa.array([index(t) for t in texts], pa.list_(pa.int32())),
+                 pa.array(pages, pa.list_(pa.float64()))], names=["doc_id", "terms", "page"])
+
+    return T.written(T.texts(docs, "lang", "source").mapInArrow(found, FEATURES),
+                     "quality-features", "zstd")
+
+
+def _arrays(batch, at: int) -> list[np.ndarray]:
+    """The lists of a column of numbers."""
+    column = batch.column(at)
+    values, ends = column.flatten().to_numpy(), np.cumsum(pa.compute.list_value_length(column))
+    return np.split(values, ends[:-1]) if len(ends) else []
+
+
+def _unlabelled_bins(features: DataFrame, labels: DataFrame, model: Model) -> DataFrame:
+    """doc_id and the bin of either view's logit of every unlabelled id; an id with several rows
+    has its least ones."""
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in T.rows(batches, 2048):
+            pages = np.array(_arrays(batch, 2)).reshape(batch.num_rows, 80)
+            logits = (model.text.logits(_arrays(batch, 1)), model.page.logits(pages))
+            yield pa.record_batch(
+                [batch.column(0), *(pa.array(np.floor(np.clip(x, -35, 35) * _STEPS), pa.int32())
+                                    for x in logits)], names=["doc_id", "bin0", "bin1"])
+
+    return (features.where("doc_id IS NOT NULL")
+            .mapInArrow(binned, "doc_id long, bin0 int, bin1 int")
+            .groupBy("doc_id").agg(F.min("bin0").alias("bin0"), F.min("bin1").alias("bin1"))
+            .join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id",
+                  "left_anti"))
+
+
+def _handed(features: DataFrame, bins: DataFrame, share: float, most: int) -> list[tuple]:
+    """For each view the rows it hands over: terms, pages, pseudo-labels and weights.
+
+    Of all unlabelled rows each view hands over its surest, ``share`` of them in each class. At
+    most ``most`` a class, by the hash of their ids, are returned; their weights add up to the
+    share that was handed over.
+    """
+    counts: list[dict[int, int]] = [{}, {}]
+    for view in (0, 1):  # at most 70 units of logit, so a bounded number of bins
+        for r in bins.groupBy(F.col(f"bin{view}").alias("bin")).count().collect():
+            counts[view][r.bin] = r["count"]
+    total = sum(counts[0].values())
+    limits = [_limits(c, share * total) for c in counts]
+    marks = [F.when(F.col(f"bin{v}") <= limits[v][0], 0).when(F.col(f"bin{v}") >= limits[v][1], 1)
+             for v in (0, 1)]
+    first = Window.partitionBy("view", "y").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = (bins.select("doc_id", F.posexplode(F.array(*marks)).alias("view", "y"))
+              .where("y IS NOT NULL").withColumn("place", F.row_number().over(first))
+              .where(F.col("place") <= most).select("doc_id", "view", "y"))
+    rows = (features.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")
+            .groupBy("doc_id").agg(F.min(F.struct("terms", "page")).alias("r"))
+            .join(picked, "doc_id").select("doc_id", "view", "y", "r.terms", "r.page")
+            .orderBy("view", "y", "doc_id").toArrow().combine_chunks())
+    view, y = (rows.column(c).to_numpy() for c in ("view", "y"))
+    terms = [np.array(r, np.int64) for r in rows.column("terms").to_pylist()]
+    pages = np.array(rows.column("page").to_pylist()).reshape(len(y), 80)
+    out = []
+    for v in (0, 1):
+        own = np.flatnonzero(view == v)
+        parts = [limits[v][2 + c] / max(1, (y[own] == c).sum()) / max(1, total) for c in (0, 1)]
+        out.append(([terms[i] for i in own], pages[own], y[own].astype(float),
+                    np.array([parts[c] for c in y[own]], float)))
+    return out
+
+
+def cotrain(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
+            marked_rows: int = MARKED_ROWS, terms: int = TERMS,
+            rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
+    """The model of :func:`fit`, and the features of all rows of ``docs`` that it was made with."""
+    known = T.written(
+        M.texts_of(docs, M.labelled(labels, "quality", sample_rows, F.lit(True)), "lang", "source"),
+        "quality-sample")
+    known = known.withColumn("fold", T.fold("doc_id", 5))
+    chosen = M.telling(known.where("fold <> 0"), text_terms, terms)
+    features = _features(docs, chosen)
+    found = (_features(known, chosen).join(known.select("doc_id", "y", "weight", "fold"), "doc_id")
              .orderBy("doc_id").toArrow())
     y = found.column("y").to_numpy().astype(float)
     fold = found.column("fold").to_numpy()
     weight = found.column("weight").to_numpy()
-    labelled = y >= 0
-    learned, kept = labelled & (fold != 0), labelled & (fold == 0)
-    model = Model(chosen, float(y[labelled].mean() >= 0.5) if labelled.any() else 1.0)
+    learned, kept = np.flatnonzero(fold != 0), np.flatnonzero(fold == 0)
+    model = Model(chosen, float(y.mean() >= 0.5) if len(y) else 1.0)
     if len(set(y[learned])) < 2:
-        return model
+        return model, features
     model.fitted = True
     all_terms = [np.array(r, np.int64) for r in found.column("terms").to_pylist()]
     pages = np.array(found.column("page").to_pylist())
-    views = [{"y": np.where(learned, y, -1.0)} for _ in range(2)]
-    unlabelled = ~labelled
-    most = max(1, int(HANDED * unlabelled.sum() / 2))
+    handed = [([], np.empty((0, 80)), np.empty(0), np.empty(0))] * 2
     for turn in range(rounds + 1):
-        logits = []
-        for view, marks in enumerate(views):
-            own = np.flatnonzero(marks["y"] >= 0)
-            if view == 0:
-                model.text.fit([all_terms[i] for i in own], marks["y"][own], weight[own])
-                logits.append(model.text.logits(all_terms))
-            else:
-                model.page.fit(pages[own], marks["y"][own], weight[own])
-                logits.append(model.page.logits(pages))
-        if turn == rounds:
-            break
-        for view, other in ((0, 1), (1, 0)):
-            free = unlabelled & (views[other]["y"] < 0)
-            picked, marks = _handed(logits[view], free, most)
-            views[other]["y"][picked] = marks
+        if turn:
+            bins = T.written(_unlabelled_bins(features, labels, model), "quality-bins")
+            handed = _handed(features, bins, turn * HANDED / 2, marked_rows)
+        # Each view learns the labelled rows and what the other one has handed over.
+        (own_terms, _, y_text, w_text), (_, own_pages, y_page, w_page) = handed[1], handed[0]
+        scale = weight[learned].sum()
+        model.text.fit([*(all_terms[i] for i in learned), *own_terms],
+                       np.concatenate([y[learned], y_text]),
+                       np.concatenate([weight[learned], scale * w_text]))
+        model.page.fit(np.concatenate([pages[learned], own_pages]),
+                       np.concatenate([y[learned], y_page]),
+                       np.concatenate([weight[learned], scale * w_page]))
     # Without both classes apart, the learned rows themselves calibrate.
     fair = kept if len(set(y[kept])) == 2 else learned
     losses = []
-    for view in range(2):
-        a, b, loss = _platt(logits[view][fair], y[fair], weight[fair])
+    for view, logits in enumerate((model.text.logits(all_terms), model.page.logits(pages))):
+        a, b, loss = _platt(logits[fair], y[fair], weight[fair])
         model.calibration[view] = (a, b)
         losses.append(loss + 1e-3)
     total = sum(1 / x for x in losses)
     model.weights = [1 / x / total for x in losses]
-    return model
+    return model, features
+
+
+def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
+    """Co-trains both views on at most ``sample_rows`` labelled rows of each class and on
+    pseudo-labels of all unlabelled rows of ``docs``.
+
+    In each round all unlabelled rows are scored; in round r each view hands over the r * 5 % of
+    them that it is surest of in either class, marked anew each time. The other view learns a
+    bounded sample of these (``marked_rows`` a class), weighted by the share handed over, so the
+    fit is alike at every size. Labelled rows whose crc32(doc_id as text) mod 5 is 0 calibrate the
+    views. Without rows of both classes every score is 1 (keep) if no row is labelled, else the
+    only class seen.
+    """
+    return cotrain(docs, labels, **bounds)[0]
+
+
+def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """:func:`score` of ``docs`` by the model fitted on them; each text is read for its terms once."""
+    model, features = cotrain(docs, labels)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in T.rows(batches):
+            pages = np.array(_arrays(batch, 2)).reshape(batch.num_rows, 80)
+            yield _result(batch.column(0), model.scores(_arrays(batch, 1), pages))
+
+    return features.mapInArrow(scored, SCHEMA)
+
+
+def _result(ids: pa.Array, scores: np.ndarray) -> pa.RecordBatch:
+    by_text, by_page, both = scores
+    return pa.record_batch(
+        [ids, pa.array(both, pa.float64()), pa.array((both >= 0.5).astype(np.int32), pa.int32()),
+         pa.array(by_text, pa.float64()), pa.array(by_page, pa.float64())],
+        names=[f.split()[0] for f in SCHEMA.split(", ")])
 
 
 def _scores(model: Model, index, batch: pa.RecordBatch, at: tuple[int, ...]) -> np.ndarray:
@@ -303,11 +395,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(model.chosen)
         for batch in T.rows(batches):
-            by_text, by_page, both = _scores(model, index, batch, (1, 2, 3))
-            yield pa.record_batch(
-                [batch.column(0), pa.array(both, pa.float64()),
-                 pa.array((both >= 0.5).astype(np.int32), pa.int32()),
-                 pa.array(by_text, pa.float64()), pa.array(by_page, pa.float64())],
-                names=[f.split()[0] for f in SCHEMA.split(", ")])
+            yield _result(batch.column(0), _scores(model, index, batch, (1, 2, 3)))
 
     return T.texts(docs, "lang", "source").mapInArrow(scored, SCHEMA)

@@ -85,7 +85,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return quality.fit_and_score(docs, table(spark, sf_dir, "labels"))
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,10 +113,37 @@ def test_machine_learns_pairs():
     assert np.mean((flat.scores(rows) >= 0.5) == np.array(y)) < 0.9
 
 
-def test_views_hand_over_rows():
-    logits = np.array([9.0, -9.0, 0.1, 5.0])
-    rows, marks = quality._handed(logits, np.array([True, True, True, False]), 1)
-    assert rows.tolist() == [1, 0] and marks.tolist() == [0.0, 1.0]
+def test_views_hand_over_rows(spark):
+    """All unlabelled rows take part; each view's surest of either class, as sorting finds them."""
+    rng = np.random.default_rng(4)
+    values = rng.integers(-900, 900, (300, 2))
+    bins = spark.createDataFrame([(i, *map(int, v)) for i, v in enumerate(values)],
+                                 "doc_id long, bin0 int, bin1 int")
+    features = spark.createDataFrame([(i, [i], [float(i)] * 80) for i in range(300)],
+                                     quality.FEATURES)
+    handed = quality._handed(features, bins, 0.1, 1000)
+    sure = np.log(9) * 64
+    for view, (terms, pages, y, weight) in enumerate(handed):
+        x = values[:, view]
+        top, low = np.sort(x)[::-1][29], np.sort(x)[29]
+        for mark, own in ((1, x >= max(top, sure)), (0, x <= min(low, -sure - 1))):
+            got = sorted(int(t[0]) for t, m in zip(terms, y, strict=True) if m == mark)
+            assert got == np.flatnonzero(own).tolist()
+            assert weight[y == mark].sum() == pytest.approx(own.sum() / 300)
+        assert [int(p[0]) for p in pages] == [int(t[0]) for t in terms]
+    # A bounded fit: fewer rows that weigh as much.
+    few = quality._handed(features, bins, 0.1, 5)[0]
+    assert len(few[0]) == 10 and few[3].sum() == pytest.approx(handed[0][3].sum())
+    assert quality._limits({3: 5, -4: 2}, 10) == (-(2**30), 2**30, 0, 0)
+
+
+def test_quality_scores_from_features(spark, medium):
+    """The query's rows, from features read once, are those of fit and score."""
+    docs, labels = (df.limit(200) for df in medium)
+    one = {r.doc_id: r.score for r in quality.fit_and_score(docs, labels).collect()}
+    two = {r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    assert one.keys() == two.keys()
+    assert all(one[i] == pytest.approx(two[i], abs=1e-9) for i in one)
 
 
 def test_samples_are_bounded(spark, labels):
