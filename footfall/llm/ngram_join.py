@@ -7,6 +7,10 @@ group then holds at most one of the differing shingles, so the sets agree in all
 one: for every group and every part left out, the shingles of the other parts make one signature,
 and similar sets share at least one. A set also signs for the next band if a partner may be there.
 
+A signature of no shingles would bring together sets that have nothing in common. There are some
+groups more than needed, so that a set with few such signatures can leave them out; one with too
+many signs again by other groups, and only what fails in every round keeps them.
+
 Sets that share a signature form a bucket. Buckets with the same members count once. Within a
 bucket not all pairs are formed: first every set meets the set that most others share a bucket
 with; what is linked is joined into components; and only members of different components of a
@@ -31,7 +35,9 @@ from footfall.llm.components import components as connected
 FILTER_BITS = 1 << 24
 PARTS = 16  # that the documents of one class are dealt into
 BLOCK = 256  # members of a bucket that meet in one group
-_LOWEST = 9
+SPLIT = 2  # parts of a group
+ROUNDS = 3  # of groups that a set may sign by
+_LOWEST = 9  # largest size of the lowest band; three bands double it
 
 
 class Scheme:
@@ -43,10 +49,10 @@ class Scheme:
     @staticmethod
     @lru_cache(maxsize=None)
     def _top(band: int) -> int:
-        return int(_LOWEST * 2 ** (band / 2))
+        return int(_LOWEST * 2 ** (band / 3))
 
     def band(self, size: int) -> int:
-        band = max(0, int(2 * np.log2(max(1, size) / _LOWEST)) - 1)
+        band = max(0, int(3 * np.log2(max(1, size) / _LOWEST)) - 1)
         while self._top(band) < size:
             band += 1
         while band and self._top(band - 1) >= size:
@@ -73,33 +79,44 @@ class Scheme:
         size = len(shingles)
         if not size:
             return np.empty(0, np.uint64)
-        sums = np.concatenate([np.zeros(1, np.uint64),
-                               np.cumsum(T.mix(shingles ^ np.uint64(0x5BD1E995)))])
         out = []
         for band in range(self.band(size), self.band(100 * size // self.percent) + 1):
             k = self.differing(self._top(band), self._top(band))
             if k == 0:
                 continue  # only equal sets, which are one class already
-            spare = 1 + k // 48
+            spare = 1 + self.differing(k, 0)
             groups = (k + 2) // 2 + spare  # so 1 + spare groups hold at most one difference
-            parts = 3 if k < 64 else 2
-            cuts = np.linspace(0, 2.0 ** 64, groups * parts + 1)[1:-1].astype(np.uint64)
-            ends = np.concatenate([[0], np.searchsorted(shingles, cuts), [size]])
-            part = (sums[ends[1:]] - sums[ends[:-1]]).reshape(groups, parts)
-            count = np.diff(ends).reshape(groups, parts)
-            rest = part.sum(axis=1, keepdims=True) - part
-            left = count.sum(axis=1, keepdims=True) - count
-            name = (np.uint64(band << 40)
-                    + np.arange(groups * parts, dtype=np.uint64).reshape(groups, parts))
-            keys = T.chain_hashes([name.ravel(), rest.ravel(), left.ravel().astype(np.uint64)])
-            empty = left.ravel() == 0
-            # Agreeing in nothing is no likeness. With up to ``spare`` empty signatures one of
-            # the shared ones is not empty; with more, the empty ones must stay.
-            if len({int(g) for g in np.flatnonzero(empty) // parts}) <= spare:
-                keys = keys[~empty]
-            out.append(keys)
+            for turn in range(ROUNDS):
+                keys, empty = self._signed(shingles, band, turn, groups)
+                # Agreeing in nothing is no likeness. Of the ``1 + spare`` groups that similar
+                # sets agree in, one is not empty if either set has at most ``spare`` such
+                # groups. If both have more, both sign in the next round as well.
+                few = empty.any(axis=1).sum() <= spare
+                last = turn == ROUNDS - 1
+                out.append(keys[~empty] if few or not last else keys.ravel())
+                if few:
+                    break
         return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
+    @staticmethod
+    def _signed(shingles: np.ndarray, band: int, turn: int,
+                groups: int) -> tuple[np.ndarray, np.ndarray]:
+        """[group, part left out]: a signature of the other parts, and whether they are empty."""
+        if turn:
+            shingles = np.sort(T.mix(shingles ^ np.uint64(0x9E3779B9 * turn)))
+        sums = np.concatenate([np.zeros(1, np.uint64),
+                               np.cumsum(T.mix(shingles ^ np.uint64(0x5BD1E995)))])
+        cuts = np.linspace(0, 2.0 ** 64, groups * SPLIT + 1)[1:-1].astype(np.uint64)
+        ends = np.concatenate([[0], np.searchsorted(shingles, cuts), [len(shingles)]])
+        part = (sums[ends[1:]] - sums[ends[:-1]]).reshape(groups, SPLIT)
+        count = np.diff(ends).reshape(groups, SPLIT)
+        rest = part.sum(axis=1, keepdims=True) - part
+        left = count.sum(axis=1, keepdims=True) - count
+        name = (np.uint64((band << 40) + (turn << 36))
+                + np.arange(groups * SPLIT, dtype=np.uint64))
+        keys = T.chain_hashes([name, rest.ravel(), left.ravel().astype(np.uint64)])
+        return keys.reshape(groups, SPLIT), left == 0
+
     def sketch(self, shingles: np.ndarray) -> bytes:
         """Parities of the shingles in a power of two of cells, about four for each difference."""
         size = len(shingles)

@@ -124,3 +124,18 @@ def test_components_of_a_path_and_a_star(spark):
     assert sorted(map(tuple, got)) == [(i, 0) for i in range(41)] + [
         (100 + i, 100) for i in range(30)]
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_signatures_of_nothing_are_rare():
+    """Sets with no shingle in common share next to no signature, at any size."""
+    rng = np.random.default_rng(11)
+    for percent in (80, 90):
+        scheme = ngram_join.Scheme(5, percent)
+        for size in (40, 60, 117, 231, 453, 1237):
+            sets = [np.unique(rng.integers(0, 2**63, size + int(n), np.uint64) * np.uint64(2))
+                    for n in rng.integers(0, size // 8, 60)]
+            signed = [set(scheme.signatures(s).tolist()) for s in sets]
+            met = sum(bool(a & b) for a, b in combinations(signed, 2))
+            assert met <= 0.1 * 60 * 59 / 2
+            # Bounded work: about one signature for two shingles, by bands and rounds.
+            assert sum(map(len, signed)) < 2 * sum(map(len, sets))
