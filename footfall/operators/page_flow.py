@@ -67,6 +67,9 @@ def following_pages(actions: DataFrame, direction: str = "desc", cuts: int = CUT
     """
     order = [c for c in ("event_id",) if c in actions.columns]
     keys = ["ts", *(order or ["page_id"])]
+    number = F.xxhash64("session_id", "action_time", "page_id")
+    if order:
+        number = F.when(F.col("event_id").isNotNull(), F.xxhash64("event_id")).otherwise(number)
     # Keys without nulls, so that the join finds the rows where the window has left them.
     rows = actions.select(
         "session_id", "action_time", *order, "page_id",
@@ -74,8 +77,9 @@ def following_pages(actions: DataFrame, direction: str = "desc", cuts: int = CUT
     ).withColumns({
         "session_key": F.coalesce(F.concat(F.lit("s"), "session_id"), F.lit("")),
         "session_hash": F.xxhash64("session_id"),
-        # From the columns as they were read, so that times are parsed for drawn rows alone.
-        "number": F.xxhash64("session_id", "action_time", *(order or ["page_id"])),
+        # From the row's own id where it has one, else from the columns as they were read, so that
+        # times are parsed for drawn rows alone.
+        "number": number,
         "hour_key": F.coalesce(F.unix_seconds(F.date_trunc("hour", "ts")), F.lit(-(2**63))),
     })
     rows = _with_parts(rows, keys, cuts, drawn)
