@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from footfall.functions import sql_functions
@@ -51,3 +53,28 @@ def test_sql_functions(spark):
         FROM detail GROUP BY area, pid
     """)
     assert rows(got) == rows(area.area_product_clicks(_clicks(spark), cities(spark)))
+
+
+def test_statement_with_an_aggregate_call(spark):
+    """The report's statement as SQL users write it, without collecting anything themselves."""
+    sql_functions.register(spark)
+    area.area_click_detail(_clicks(spark), cities(spark)).createOrReplaceTempView("detail")
+    statement = """
+        SELECT area, pid, count(*) AS click_count, -- group_concat_distinct(x)
+               Group_Concat_Distinct (concat_long_string(city_id, city_name, ':')) AS city_infos
+        FROM detail GROUP BY area, pid
+    """
+    with pytest.raises(AnalysisException):
+        spark.sql(statement)
+    got = spark.sql(sql_functions.with_aggregates(statement))
+    assert rows(got) == rows(area.area_product_clicks(_clicks(spark), cities(spark)))
+
+
+def test_only_bare_aggregate_calls_change():
+    same = ["SELECT (a) FROM t", "SELECT group_concat_distinct( collect_set(x)) FROM t",
+            "SELECT 'it\\'s group_concat_distinct(x)', `group_concat_distinct(` FROM t",
+            "SELECT 1 /* group_concat_distinct(x) */", "SELECT my_group_concat_distinct(x)", ""]
+    assert [sql_functions.with_aggregates(s) for s in same] == same
+    assert sql_functions.with_aggregates(
+        "SELECT group_concat_distinct(concat(a, ')', f(b))), max((c)) FROM t"
+    ) == "SELECT group_concat_distinct(collect_set(concat(a, ')', f(b)))), max((c)) FROM t"
