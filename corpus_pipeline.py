@@ -34,18 +34,23 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of equal rows one stays. An id with several texts stands for each of them by itself, as a
     negative number, so that no text is lost. Rows without id are in no group and stay.
     """
-    again = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count()
-                    .where("count > 1").select("doc_id"), "repeated-ids")
-    own = docs.select(*COLUMNS, F.col("doc_id").alias("own"))
+    known = docs.where("doc_id IS NOT NULL")
+    again = written(known.groupBy("doc_id").count().where("count > 1").select("doc_id"),
+                    "repeated-ids")
+    own = known.select(*COLUMNS, F.col("doc_id").cast("long").alias("own"),
+                       F.lit(False).alias("again"))
     if not again.isEmpty():
         mark = -F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1) - 1
-        own = (docs.join(again.withColumn("again", F.lit(True)), "doc_id", "left")
+        own = (known.join(again.withColumn("again", F.lit(True)), "doc_id", "left")
                .select(*COLUMNS, F.when(F.col("again"), mark).otherwise(F.col("doc_id"))
-                       .alias("own")))
+                       .alias("own"), F.col("again").isNotNull().alias("again")))
     named = own.select(F.col("own").alias("doc_id"), "text")
-    firsts = (ngram_join.components(named, words=5, percent=80)
-              .where("component_id = doc_id").select(F.col("doc_id").alias("own")))
-    kept = own.join(firsts, "own", "left_semi").dropDuplicates(["own"])
+    others = written(ngram_join.components(named, words=5, percent=80)
+                     .where("component_id <> doc_id").select(F.col("doc_id").alias("own"))
+                     .distinct(), "near-copies")
+    # Whole texts are shuffled only where a row may be left out or may be there twice.
+    kept = ngram_join.without(own, "own", others)
+    kept = kept.where("NOT again").unionByName(kept.where("again").dropDuplicates(["own"]))
     return kept.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 

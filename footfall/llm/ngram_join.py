@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm import text as T
@@ -165,12 +165,16 @@ def _sets(docs: DataFrame, scheme: Scheme) -> DataFrame:
         made, "doc_id long, key long, key2 long, n long, signatures array<long>, sketch binary")
 
 
+def _words(values: DataFrame, name: str) -> DataFrame:
+    """word, bits: FILTER_BITS bits, set at the hash of each value, as words of 64."""
+    at = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS))
+    return (values.select((at / 64).cast("int").alias("word"), (at % 64).cast("int").alias("bit"))
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
+
+
 def _filter(values: DataFrame, name: str) -> np.ndarray:
     """FILTER_BITS bits, set at the hash of each value: the driver gets these bits alone."""
-    at = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS))
-    words = (values.select((at / 64).cast("int").alias("word"), (at % 64).cast("int").alias("bit"))
-             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)"))
-                                  .alias("bits")).toArrow())
+    words = _words(values, name).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return bits
@@ -181,32 +185,36 @@ def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bits[at // 64] >> (at % 64)) & 1).astype(bool)
 
 
-def _buckets(sets: DataFrame, reps: DataFrame) -> DataFrame:
-    """signature, id, size of the buckets with several classes, one for each set of members."""
-    mark = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"x{i}") for i in (1, 2)]
-    several = (reps.select(F.explode("signatures").alias("signature"), "id")
-               .groupBy("signature").agg(F.count("*").alias("members"), *mark)
-               .where("members > 1")
-               .groupBy("members", "x1", "x2").agg(F.min("signature").alias("signature"))
-               .select("signature", "members"))
-    several = T.written(several, "ngram-several")
-    bits = _filter(several, "signature")
+def without(rows: DataFrame, name: str, ids: DataFrame) -> DataFrame:
+    """The rows whose column ``name`` is not among ``ids`` (one column of that name).
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            values = lists.flatten().to_numpy(zero_copy_only=False)
-            hashes = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(batch.column(0).to_numpy(zero_copy_only=False),
-                              pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
-            keep = _passes(bits, hashes)
-            yield pa.record_batch([pa.array(owner[keep], pa.int64()),
-                                   pa.array(values[keep], pa.int64())], names=["id", "signature"])
-
-    rows = (sets.where("n > 0")
-            .select("doc_id", "signatures", F.transform("signatures", lambda s: F.xxhash64(s)).alias("hashes"))
-            .mapInArrow(kept, "id long, signature long"))
-    return T.written(rows.join(several, "signature").join(reps.select("id"), "id", "left_semi")
+    Rows that a filter of fixed size tells apart from all ids stay where they are; the others
+    alone are shuffled and joined.
+    """
+    at = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS))
+    asked = (rows.withColumn("_word", (at / 64).cast("int"))
+             .join(F.broadcast(_words(ids, name).toDF("_word", "_bits")), "_word", "left"))
+    maybe = F.coalesce(F.getbit("_bits", at % 64), F.lit(0)) == 1
+    return (asked.where(~maybe).select(*rows.columns)
+            .unionByName(asked.where(maybe).join(ids, name, "left_anti").select(*rows.columns)))
+
+
+def _buckets(reps: DataFrame) -> DataFrame:
+    """signature, id, members of the buckets with several ids, one for each set of members.
+
+    The signatures are shuffled once, with nothing but their id.
+    """
+    same = Window.partitionBy("signature")
+    mark = [F.bit_xor(F.xxhash64("id", F.lit(i))).over(same).alias(f"x{i}") for i in (1, 2)]
+    shared = (reps.select(F.explode("signatures").alias("signature"), "id")
+              .withColumn("rows", F.count("*").over(same)).where("rows > 1")
+              .select("signature", "id").distinct()  # rows of one id would cancel out in a mark
+              .select("signature", "id", F.count("*").over(same).alias("members"), *mark)
+              .where("members > 1"))
+    shared = T.written(shared, "ngram-shared")
+    firsts = (shared.groupBy("members", "x1", "x2").agg(F.min("signature").alias("signature"))
+              .select("signature"))
+    return T.written(shared.join(firsts, "signature", "left_semi")
                      .select("signature", "id", "members"), "ngram-members")
 
 
@@ -319,9 +327,11 @@ def links(docs: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
     sets = T.written(_sets(docs, scheme), "ngram-sets-of-all")
     whole = sets.where("n > 0 AND doc_id IS NOT NULL")
     firsts = whole.groupBy("key", "key2").agg(F.min("doc_id").alias("id")).select("id")
-    reps = (whole.withColumnRenamed("doc_id", "id").join(firsts, "id", "left_semi")
-            .select("id", "n", "signatures", "sketch"))
-    buckets = _buckets(sets.where("doc_id IS NOT NULL"), reps)
+    copies = T.written(whole.select(F.col("doc_id").alias("id")).distinct()
+                       .join(firsts, "id", "left_anti"), "ngram-copies")
+    reps = without(whole.select(F.col("doc_id").alias("id"), "n", "signatures", "sketch"),
+                   "id", copies)
+    buckets = _buckets(reps)
     info = T.written(reps.select("id", "n", "sketch")
                      .join(buckets.select("id").distinct(), "id", "left_semi"), "ngram-info")
     # The set with the most company stands in the middle of its bucket.

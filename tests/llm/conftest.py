@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pytest
 
 SMALL = "/root/testdata/sf0.001"
@@ -39,3 +41,37 @@ ODD = (
 @pytest.fixture
 def odd(docs):
     return docs(*ODD)
+
+
+@contextmanager
+def no_broadcast(spark):
+    """Joins as they are for large tables: broadcast only where a hint asks for it."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def shuffled(df):
+    """Columns and rows of each shuffle that a run of ``df`` makes."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name == "Exchange":
+            out = node.output()
+            found.append(({out.apply(i).name() for i in range(out.size())},
+                          node.metrics().apply("shuffleRecordsWritten").value()))
+        below = [node.plan()] if name.endswith("QueryStage") else [
+            node.children().apply(i) for i in range(node.children().size())]
+        for child in below:
+            walk(child)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found

@@ -9,9 +9,10 @@ import numpy as np
 import pytest
 
 from footfall.llm import ngram_join, queries
+from footfall.llm import text as T
 from footfall.llm.components import components as connected
 from tests.compare import differences, duck
-from tests.llm.conftest import SMALL
+from tests.llm.conftest import SMALL, no_broadcast, shuffled
 
 UPPER = {c: c + 32 for c in range(65, 91)}
 
@@ -139,3 +140,44 @@ def test_signatures_of_nothing_are_rare():
             assert met <= 0.1 * 60 * 59 / 2
             # Bounded work: about one signature for two shingles, by bands and rounds.
             assert sum(map(len, signed)) < 2 * sum(map(len, sets))
+
+
+def test_repeated_rows_lose_no_link(docs):
+    """Rows of one id do not cancel out in what tells a bucket's members."""
+    words = [f"w{i}" for i in range(20)]
+    a, b = list(words), list(words)
+    a[0], a[9], a[19] = "e470_89", "e479_0", "e4719_17"
+    b[11], b[13], b[17] = "e3511_26", "e3513_29", "e3517_69"
+    rows = [(i, " ".join(text)) for i, text in ((1, a), (1, a), (2, b), (2, b), (3, words))]
+    got = ngram_join.components(docs(*rows), 1, 70).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [
+        (1, 1), (1, 1), (2, 1), (2, 1), (3, 1)]
+
+
+def test_rows_without_some_ids(spark, docs):
+    rows = docs(*((i, f"text {i}") for i in range(40)), (7, "again"), (None, "no id"))
+    ids = spark.createDataFrame([(i,) for i in range(0, 60, 3)], "doc_id long")
+    got = ngram_join.without(rows, "doc_id", ids)
+    assert got.columns == rows.columns
+    want = [r for r in rows.collect() if r.doc_id is None or r.doc_id % 3]
+    assert sorted(got.collect(), key=str) == sorted(want, key=str)
+    assert ngram_join.without(rows, "doc_id", ids.limit(0)).count() == rows.count()
+
+
+def test_signatures_are_shuffled_once(spark, documents, monkeypatch):
+    """No list of signatures of a set that has no copy, and each of them with its id alone."""
+    wide, single, real = [], [], T.written
+
+    def written(df, name, *more):
+        for columns, rows in shuffled(df):
+            if "signatures" in columns:
+                wide.append(rows)
+            if "signature" in columns and rows > 20 * documents.count():
+                single.append(columns)
+        return real(df, name, *more)
+
+    monkeypatch.setattr(T, "written", written)
+    with no_broadcast(spark):
+        ngram_join.components(documents, 5, 80).count()
+    assert sum(wide) < documents.count() / 2
+    assert single == [{"signature", "id"}]

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
 from footfall.llm import ngram_join, packing, pii, quality, toxicity
-from tests.llm.conftest import SMALL
+from tests.llm.conftest import SMALL, no_broadcast, shuffled
 from tests.llm.test_ngram_join import _by_hand
 
 
@@ -88,3 +89,18 @@ def test_texts_of_a_repeated_id_are_kept(spark, docs):
     kept = corpus_pipeline.one_of_each(spark, frame, SMALL).collect()
     assert sorted(r.text[0] for r in kept if r.doc_id is not None) == ["x", "y", "z"]
     assert {r.doc_id for r in kept} <= {3, 5, 6, 7, None}
+
+
+def test_few_texts_are_shuffled(spark, documents):
+    """The texts that may be left out alone, where no id is repeated."""
+    with no_broadcast(spark):
+        kept = corpus_pipeline.one_of_each(spark, documents, SMALL)
+        rows = sum(n for columns, n in shuffled(kept) if "text" in columns)
+    assert rows < documents.count() / 2
+
+
+def test_short_ids(spark, docs):
+    text = " ".join(f"w{i}" for i in range(30))
+    frame = docs((1, text), (2, text), (3, "other")).withColumn("doc_id", F.expr("int(doc_id)"))
+    kept = corpus_pipeline.one_of_each(spark, frame.select(*corpus_pipeline.COLUMNS), SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
